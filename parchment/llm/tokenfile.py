@@ -90,6 +90,13 @@ def piece_starts(points: np.ndarray, kinds: np.ndarray, doc_starts: np.ndarray)
     return np.flatnonzero(start)
 
 
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base**0 .. base**(n - 1) modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 class Encoder:
     """Ids of many texts at once; remembers the ids of pieces."""
 
@@ -102,9 +109,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kinds = code_point_classes()
         base = np.uint64(0x9E3779B97F4A7C15)
-        self.powers = np.cumprod(np.concatenate(([1], np.full(2 * BATCH, base, np.uint64))).astype(np.uint64), dtype=np.uint64)
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        self.inverse = np.cumprod(np.concatenate(([1], np.full(2 * BATCH, inverse, np.uint64))).astype(np.uint64), dtype=np.uint64)
+        self.powers, self.inverse = powers(base, 2 * BATCH + 1), powers(np.uint64(pow(int(base), -1, 1 << 64)), 2 * BATCH + 1)
         self.forget()
 
     def forget(self) -> None:
