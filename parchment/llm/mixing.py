@@ -57,10 +57,10 @@ def sainte_lague(df: DataFrame, group: list[str], weight: str, seats: str, order
     return banded.join(right, on, "left").withColumn("quota", F.col("_lo") + F.coalesce("_more", F.lit(0))).select(*df.columns, "quota")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
-    """One row for each document: doc_id, source, size, source_size, target, taken."""
-    sized = stage_table(docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("h")))
-    return mix_sized(sized, weights, share, cap, seed)
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each document: doc_id, source, size, source_size, target, taken; passes and cuts say which words; and carried columns."""
+    sized = stage_table(docs.select("doc_id", "source", *carry, F.size(words(F.col("text"))).cast("long").alias("size"), F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("h")))
+    return mix_sized(sized, weights, share, cap, seed, carry)
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
@@ -85,7 +85,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap
     )
 
 
-def mix_sized(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
+def mix_sized(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
     targets = (
         source_targets(sized, weights, share, cap)
         .withColumn("block", F.greatest(F.lit(1), F.floor(F.col("total_size") / BLOCKS)))
@@ -112,16 +112,32 @@ def mix_sized(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     run = W.partitionBy("source", "shard").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     placed = dealt.withColumn("_end", F.sum("size").over(run)).withColumn("_start", F.col("_end") - F.col("size"))
 
-    def overlap(start) -> F.Column:
-        return F.greatest(F.lit(0), F.least(F.col("_end"), start + F.col("rest")) - F.greatest(F.col("_start"), start))
+    def cut(start) -> F.Column:
+        """The words of a document that a run of blocks from ``start`` covers: first one and count."""
+        low, high = F.greatest(F.col("_start"), start), F.least(F.col("_end"), start + F.col("rest"))
+        return F.struct((low - F.col("_start")).alias("first"), F.greatest(F.lit(0), high - low).alias("count"))
 
     return (
         placed.join(shard_quotas, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_sh")))
-        .withColumn("taken", F.col("passes") * F.col("size") + overlap(F.col("_first")) + overlap(F.col("_first") - F.col("shard_size")))
-        .select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), (F.col("taken") - F.col("passes") * F.col("size")).cast("long").alias("part"), "passes")
+        .withColumn("cut", cut(F.col("_first"))).withColumn("wrapped", cut(F.col("_first") - F.col("shard_size")))
+        .withColumn("taken", F.col("passes") * F.col("size") + F.col("cut.count") + F.col("wrapped.count"))
+        .select("doc_id", "source", *carry, "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "passes", "cut", "wrapped")
     )
 
 
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each full pass over a document and one for the words of a partial pass, joined by a space."""
+    inner = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
+    taken = mix(inner, weights, share, cap, seed, ("_row",))
+    w = words(F.col("_row.text"))
+    piece = lambda c: F.slice(w, (F.col(f"{c}.first") + 1).cast("int"), F.col(f"{c}.count").cast("int"))
+    part = F.array_join(F.concat(*[F.when(F.col(f"{c}.count") > 0, piece(c)).otherwise(F.array().cast("array<string>")) for c in ("cut", "wrapped")]), " ")
+    texts = F.concat(F.array_repeat(F.col("_row.text"), F.col("passes").cast("int")), F.when(F.col("cut.count") + F.col("wrapped.count") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
+    rows = taken.where("taken > 0").withColumn("_text", F.explode(texts))
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("bigint")}
+    return rows.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

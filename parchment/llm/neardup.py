@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import repeats as R
@@ -172,7 +173,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, class_id (the least doc_id of the class), of every row."""
+    """doc_id, digest, root (a name of the class), class_id (its least doc_id), of every row."""
     rows = stage_table(sketched(docs))
     texts = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     keyed = texts.where("keys IS NOT NULL").select("digest", "n", F.explode("keys").alias("key"))
@@ -196,8 +197,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = first.unionByName(verified(docs, texts, untried)).distinct()
     final = components(links)
     roots = texts.select("digest", "doc_id").join(final, F.col("digest") == F.col("node"), "left").select("digest", "doc_id", F.coalesce("root", "digest").alias("root"))
-    named = roots.join(roots.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select(F.col("digest").alias("_digest"), "class_id")
-    return rows.select("doc_id", "digest").join(named, F.col("digest") == F.col("_digest"), "left").select("doc_id", "digest", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    named = roots.join(roots.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select(F.col("digest").alias("_digest"), "root", "class_id")
+    return rows.select("doc_id", "digest").join(named, F.col("digest") == F.col("_digest"), "left").select("doc_id", "digest", "root", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+
+
+def first_of_classes(docs: DataFrame) -> DataFrame:
+    """One document of each class, that with the least doc_id (null first), with the columns of ``docs``."""
+    classes = stage_table(near_duplicates(docs))
+    chosen = classes.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_doc"), F.md5(F.coalesce("text", F.lit(""))).alias("_md5"))
+    found = rows.join(chosen, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_digest")))
+    single = found.withColumn("_nth", F.row_number().over(W.partitionBy("_doc", "_md5").orderBy("_doc"))).where("_nth = 1")
+    wordless = rows.where(~F.coalesce(F.col("_row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return single.select("_row.*").unionByName(wordless.select("_row.*"))
 
 
 def across_classes(key: tuple, data: pa.Table) -> pa.Table:

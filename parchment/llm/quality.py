@@ -129,6 +129,12 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: floa
     return rows.join(cuts, F.col(stratum).eqNullSafe(F.col("_stratum")), "left").withColumn("kept", ~F.col("base_failed") & ~rejected).drop("_stratum")
 
 
+def kept_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The documents that pass, with the columns of ``docs``."""
+    inner = docs.select("doc_id", "text", stratum, F.struct(*docs.columns).alias("_row"))
+    return judge(inner, labels, stratum, keep=("_row",)).where("kept").select("_row.*")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 

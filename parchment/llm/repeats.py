@@ -164,16 +164,21 @@ def unblob(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def grouped_documents(docs: DataFrame, groups: int) -> DataFrame:
-    """doc_id, text and the group that holds all rows of a doc_id."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def grouped_documents(docs: DataFrame, groups: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, carried columns and the group that holds all rows of a doc_id."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"carried_{c}") for c in carry])
     return rows.withColumn("gid", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7)), F.lit(groups)).cast("int"))
 
 
+def ordered(data: pa.Table) -> list[int]:
+    """A group's rows by (doc_id, text), null ids first; equal rows keep any order."""
+    ids, texts = data.column("doc_id").to_pylist(), data.column("text").to_pylist()
+    return sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i]))
+
+
 def in_order(data: pa.Table) -> tuple[list, list[bytes]]:
-    """A group's doc_ids and texts by (doc_id, text), null ids first; equal rows keep any order."""
-    rows = sorted(zip(data.column("doc_id").to_pylist(), data.column("text").to_pylist(), strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    return [r[0] for r in rows], [r[1].encode() for r in rows]
+    ids, texts, order = data.column("doc_id").to_pylist(), data.column("text").to_pylist(), ordered(data)
+    return [ids[i] for i in order], [texts[i].encode() for i in order]
 
 
 def packed(parts: dict[int, bytes], gid: int) -> pa.Table:
@@ -212,7 +217,7 @@ def distinct_runs(method: Method, texts: list[bytes], repeated: np.ndarray, hot:
         yield a, runs, units, sums, bounds
 
 
-def folded(method: Method, texts: list[bytes], repeated: np.ndarray, hot: np.ndarray) -> tuple[Runs, np.ndarray, np.ndarray, list[np.ndarray] | None, list]:
+def folded(method: Method, texts: list[bytes], repeated: np.ndarray, hot: np.ndarray) -> tuple[Runs, np.ndarray, np.ndarray, list]:
     """All runs of a group, the first run of each content, each run's content number, and the chunks' units."""
     held, runs = [], []
     for a, r, units, sums, bounds in distinct_runs(method, texts, repeated, hot):
@@ -230,14 +235,14 @@ def folded(method: Method, texts: list[bytes], repeated: np.ndarray, hot: np.nda
         first = order[new]  # lexsort is stable: the first in document order
     else:
         number, first = np.empty(0, np.int64), np.empty(0, np.int64)
-    return every, first, number, None, held
+    return every, first, number, held
 
 
-def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema: str, groups: int | None = None) -> DataFrame:
-    """``finish(doc_ids, texts, runs, first, number, answers)`` makes a group's rows; answers: (content number, offset, windows, source doc, source start)."""
+def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema: str, groups: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``finish(doc_ids, texts, runs, first, number, answers)`` makes a group's columns; answers: (content number, offset, windows, source doc, source start). Carried columns follow."""
     groups = groups or group_count(docs)
     buckets = groups
-    rows = grouped_documents(docs, groups)
+    rows = grouped_documents(docs, groups, carry)
 
     def minimizers(key: tuple, data: pa.Table) -> pa.Table:
         _, texts = in_order(data)
@@ -282,7 +287,7 @@ def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema:
         if not data.num_rows:
             return packed({}, 0)
         doc_ids, texts = in_order(data)
-        runs, first, number, _, held = folded(method, texts, *known(told))
+        runs, first, number, held = folded(method, texts, *known(told))
         if not len(first):
             return packed({}, 0)
         copies = np.bincount(number, minlength=len(first))
@@ -324,14 +329,20 @@ def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema:
 
     def close(key: tuple, data: pa.Table, told: pa.Table) -> pa.Table:
         if not data.num_rows:
-            return finish([], [], None, None, None, None)
+            return with_carried(finish([], [], None, None, None, None), data, [])
         doc_ids, texts = in_order(data)
         kinds = told.column("kind").to_pylist()
-        runs, first, number, _, _ = folded(method, texts, *known(told.filter(pa.array([k == 0 for k in kinds], pa.bool_()))))
+        runs, first, number, _ = folded(method, texts, *known(told.filter(pa.array([k == 0 for k in kinds], pa.bool_()))))
         said = [unblob(d.as_py(), "<i4", "<i4", "<i4", "<i8", "<i4") for d, k in zip(told.column("data"), kinds, strict=True) if k == 1]
         answers = [np.concatenate([s[i] for s in said]) if said else np.empty(0, np.int64) for i in range(5)]
-        return finish(doc_ids, texts, runs, first, number, answers)
+        return with_carried(finish(doc_ids, texts, runs, first, number, answers), data, ordered(data))
+
+    def with_carried(out: pa.Table, data: pa.Table, order: list[int]) -> pa.Table:
+        for c in carry:
+            out = out.append_column(c, data.column(f"carried_{c}").take(pa.array(order, pa.int64())))
+        return out
 
+    out_schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     seen = rows.groupBy("gid").applyInArrow(minimizers, PACKED)
     again = seen.groupBy("bucket").applyInArrow(recurring, PACKED)
     sent = rows.groupBy("gid").cogroup(again.groupBy("gid")).applyInArrow(send, PACKED)

@@ -156,8 +156,8 @@ def shared_windows(key, doc_id, local, start, windows, copies, sizes, body):
 METHOD = R.Method(byte_units, WINDOW, GRAM, byte_payload, shared_windows)
 
 
-def dedup_bytes(docs: DataFrame, groups: int | None = None) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left)."""
+def dedup_bytes(docs: DataFrame, groups: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), and carried columns."""
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
     def finish(doc_ids, texts, runs, first, number, answers) -> pa.Table:
@@ -172,7 +172,7 @@ def dedup_bytes(docs: DataFrame, groups: int | None = None) -> DataFrame:
                 column.append(value)
         return pa.table([pa.array(doc_ids, pa.int64()), *(pa.array(out[i], pa.int64()) for i in range(3)), pa.array(out[3], pa.string()), pa.array(out[4], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return R.repeated_runs(docs, METHOD, finish, schema, groups)
+    return R.repeated_runs(docs, METHOD, finish, schema, groups, carry)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
