@@ -26,7 +26,7 @@ from .substrings import covered
 
 WINDOW, GRAM = 400, 32
 #: Bytes of one transform, unless one minimizer has more.
-TRANSFORM = 1 << 19
+TRANSFORM = 1_900_000
 
 
 def byte_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -38,52 +38,99 @@ def byte_payload(units: np.ndarray, sums: np.ndarray, start: np.ndarray, windows
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols or more, ties by place."""
+    """Suffixes in the order of their first ``depth`` symbols or more, ties by place.
+
+    Prefix doubling where a sort key and the place share a 64-bit number, so that plain sorts do.
+    """
     n = len(symbols)
+    low = np.uint64(max(1, int(n).bit_length()))
+    if 3 * int(low) > 64:  # one minimizer has more than two million bytes: sort by pairs
+        rank, known = np.unique(symbols, return_inverse=True)[1], 1
+        while known < depth and rank.max() < n - 1:
+            pair = rank * (n + 1)
+            pair[: n - known] += rank[known:] + 1
+            rank, known = np.unique(pair, return_inverse=True)[1], 2 * known
+        return np.argsort(rank, kind="stable")
+    place, mask = np.arange(n, dtype=np.uint64), np.uint64((1 << int(low)) - 1)
+    wide = max(1, int(symbols.max()).bit_length())
+    known = max(1, (64 - int(low)) // wide)
     code = np.zeros(n, np.uint64)
-    for k in range(7):
-        code <<= np.uint64(9)
+    for k in range(known):
+        code <<= np.uint64(wide)
         code[: n - k] |= symbols[k:]
-    rank, known = np.unique(code, return_inverse=True)[1], 7
-    while known < depth and rank.max() < n - 1:
-        pair = rank * (n + 1)
-        pair[: n - known] += rank[known:] + 1
-        rank, known = np.unique(pair, return_inverse=True)[1], 2 * known
-    return np.argsort(rank, kind="stable")
+    while True:
+        code <<= low
+        code |= place
+        code.sort()
+        order = (code & mask).astype(np.int64)
+        code >>= low
+        new = np.empty(n, np.uint64)
+        new[:1] = 0
+        np.not_equal(code[1:], code[:-1], out=new[1:], casting="unsafe")
+        np.cumsum(new, out=new)
+        if known >= depth or new[-1] == n - 1:
+            return order
+        rank = np.empty(n, np.uint64)
+        rank[order] = new
+        code = rank << low
+        code[: n - known] |= rank[known:] + np.uint64(1)
+        known *= 2
+
+
+#: Suffixes after a boundary that are extended one by one before symbols are looked up instead.
+STEPS = 6
 
 
 def parted(symbols: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
-    """Whether each suffix in order shares less than ``limit`` symbols with the one before it."""
+    """Whether each suffix in order shares less than ``limit`` symbols with the one before it.
+
+    A boundary b of value v makes, for a symbol c, one of value v + 1: the first suffix that
+    extends one at or after b by c, if it has none yet. Many boundaries are counted into a table of
+    all suffixes, few are extended by the suffixes up to the next boundary, or by all symbols.
+    """
     n = len(symbols)
     transform = symbols[order - 1]
-    came = np.argsort(transform, kind="stable")  # of each suffix, the place in the transform it extends
+    came = np.argsort(transform, kind="stable").astype(np.int32)  # the place in the transform that each suffix extends
     sorted_ = transform[came]
-    place = sorted_.astype(np.int64) * (n + 1) + came
+    goes = np.empty(n, np.int32)
+    goes[came] = np.arange(n, dtype=np.int32)
     alphabet = np.unique(symbols)
     alphabet = alphabet[alphabet > 0]  # nothing extends over the end of a string
+    place = sorted_.astype(np.int64) * (n + 1) + came
     done = np.zeros(n + 1, bool)
-    start = np.flatnonzero(np.diff(sorted_.astype(np.int64), prepend=-1))
-    done[start] = True
+    bounds = np.flatnonzero(np.diff(sorted_.astype(np.int64), prepend=-1))
+    done[bounds] = True
     done[n] = True
     done[: np.searchsorted(sorted_, 1)] = True
-    bounds = start
     left = np.flatnonzero(~done)
+    to, since = came[left], came[left - 1]
     for _ in range(limit - 1):
         if not len(bounds) or not len(left):
             break
-        if 4 * len(bounds) * len(alphabet) < len(left) + n // 4:
-            x = np.searchsorted(place, (alphabet.astype(np.int64)[:, None] * (n + 1) + bounds).ravel())
-            bounds = np.unique(x[~done[x]])
-            done[bounds] = True
-            if len(bounds) * 16 > len(left):
-                left = left[~done[left]]
-        else:
-            left = left[~done[left]]
+        found, rest = [], None
+        if 32 * len(bounds) < len(left) + n // 4:
+            at, of = bounds, bounds
+            for _ in range(STEPS):
+                x = goes[at]
+                found.append(x[~done[x] & (came[x - 1] < of)])
+                on = ~done[at + 1]
+                at, of = at[on] + 1, of[on]
+                if not len(at):
+                    break
+            rest = of
+        if rest is None or 10 * len(rest) * len(alphabet) > len(left) + n // 4:
+            keep = ~done[left]
+            left, to, since = left[keep], to[keep], since[keep]
             count = np.zeros(n + 1, np.int32)
             count[bounds] = 1
-            count = np.cumsum(count)
-            bounds = left[count[came[left]] > count[came[left - 1]]]
-            done[bounds] = True
+            np.cumsum(count, out=count)
+            bounds = left[count[to] > count[since]]
+        else:
+            if len(rest):
+                x = np.searchsorted(place, (alphabet.astype(np.int64)[:, None] * (n + 1) + rest).ravel())
+                found.append(x[~done[x]])
+            bounds = np.unique(np.concatenate(found))
+        done[bounds] = True
     return done[:n]
 
 
@@ -113,6 +160,9 @@ def shared_windows(key, doc_id, local, start, windows, copies, sizes, body):
     members: list[list[int]] = []
 
     def spans(mask: np.ndarray, runs: list[int]) -> None:
+        if mask.all():
+            out.append((np.array(runs), np.zeros(len(runs), np.int64), np.full(len(runs), len(mask))))
+            return
         edge = np.diff(mask.view(np.int8), prepend=0, append=0)
         a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if len(a):
