@@ -3,10 +3,11 @@
 A text's shingles are five consecutive words with their occurrence number. Each of REPS sketches
 keeps its two least shingles in text order; a bucket key is their hash. Two texts of similarity 0.8
 share a key with a probability of 1 - 0.36**REPS. Equal texts fold into one first. In a bucket every
-text is paired with the bucket's most shared text, its hub; links make classes; buckets that then
-hold several classes pair their texts across classes. A pair is a candidate where AGREE of the SIGNS
+text is paired with the bucket's most shared text, its hub; links make classes; in buckets that then
+hold several classes, texts outside the largest are paired with TRIES texts of it, which differ from
+bucket to bucket; links make larger classes; buckets that still hold several classes pair their texts across classes. A pair is a candidate where AGREE of the SIGNS
 minima of the distinct shingles agree (those of a pair that links agree in four fifths, with a
-standard deviation of 0.035), and comes from the first bucket that it shares. Large buckets are dealt
+standard deviation of 0.025), and comes from the first bucket that it shares. Large buckets are dealt
 into squares of BLOCK by BLOCK texts. So no link between different texts of different classes is left
 out, no task holds a whole bucket, and no group is expanded into all its pairs. A pair links if its shingle sets have a Jaccard
 similarity of 0.8 or more and its words align, within a band, with an edit similarity of 0.8 or more.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from .common import stage_table, table
 from .substrings import word_units
 
 SHINGLE, SIMILARITY, REPS = 5, 0.8, 20
-SIGNS, AGREE, BLOCK = 128, 0.65, 2048
+SIGNS, AGREE, BLOCK, TRIES = 256, 0.7, 2048, 4
 SEEDS = R.mixed(np.arange(1, REPS + 1, dtype=np.uint64) * R.BASE)
 FACTORS = R.mixed(np.arange(1001, 1001 + SIGNS, dtype=np.uint64) * R.BASE) | np.uint64(1)
 
@@ -64,10 +65,10 @@ def order_sketches(grams: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.n
     """Documents with shingles, their keys and the signs of their distinct shingles."""
     with_any, start, size = np.unique(doc, return_index=True, return_counts=True)
     if not len(with_any):
-        return with_any, np.empty((0, REPS), np.uint64), np.empty((0, SIGNS), np.uint16)
+        return with_any, np.empty((0, REPS), np.uint64), np.empty((0, SIGNS), np.uint8)
     marked = labelled(grams, doc)
     top = np.iinfo(np.uint64).max
-    keys, sketch = np.empty((len(with_any), REPS), np.uint64), np.empty((len(with_any), SIGNS), np.uint16)
+    keys, sketch = np.empty((len(with_any), REPS), np.uint64), np.empty((len(with_any), SIGNS), np.uint8)
     for j, seed in enumerate(SEEDS):
         h = R.mixed(marked ^ seed)
         one = np.minimum.reduceat(h, start)
@@ -82,7 +83,7 @@ def order_sketches(grams: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.n
         before = at_one < at_two
         keys[:, j] = R.mixed(np.where(before, one, two) * R.BASE + np.where(before, two, one)) ^ seed
     for j, factor in enumerate(FACTORS):  # a least value has few bits at its top, so its middle is kept
-        sketch[:, j] = (np.minimum.reduceat(grams * factor, start) >> np.uint64(24)) & np.uint64(0xFFFF)
+        sketch[:, j] = (np.minimum.reduceat(grams * factor, start) >> np.uint64(24)) & np.uint64(0xFF)
     return with_any, keys, sketch
 
 
@@ -175,6 +176,24 @@ def components(links: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
 
 
+def sized(x: Column | str, y: Column | str) -> Column:
+    return F.least(x, y) >= SIMILARITY * F.greatest(x, y) - SHINGLE
+
+
+def in_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Bucket members with the root of their class; a text without links is its own."""
+    return members.select("key", "digest", "n").join(classes, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", F.coalesce("root", "digest").alias("root"))
+
+
+def towards_largest(placed: DataFrame) -> DataFrame:
+    """Pairs of a bucket's texts with TRIES texts of its largest class, for those outside it."""
+    picks = [F.min(F.struct(F.xxhash64("digest", "key", F.lit(i)).alias("h"), "digest", "n")).alias(f"p{i}") for i in range(TRIES)]
+    within = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), *picks)
+    largest = within.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("c", "root", F.array(*[f"p{i}" for i in range(TRIES)]).alias("picks"))).alias("top")).where("classes > 1 AND top.c > 1").select("key", "top")
+    pairs = placed.join(largest, "key").where(F.col("root") != F.col("top.root")).select("digest", "n", F.explode("top.picks").alias("pick"))
+    return pairs.where(sized(F.col("n"), F.col("pick.n"))).select(F.greatest("digest", "pick.digest").alias("a"), F.least("digest", "pick.digest").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, digest, root (a name of the class), class_id (its least doc_id), of every row."""
     rows = stage_table(sketched(docs))
@@ -185,7 +204,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     weight = members.groupBy("digest").agg(F.sum(F.log2("c")).alias("w"))
     ranked = members.select("key", "digest", "n").join(weight, "digest")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("w", "digest", "n")).alias("hub"))
-    sized = lambda x, y: F.least(x, y) >= SIMILARITY * F.greatest(x, y) - SHINGLE
     stars = (
         members.select("key", "digest", "n").join(hubs, "key").where(F.col("digest") != F.col("hub.digest")).where(sized(F.col("n"), F.col("hub.n")))
         .select(F.greatest("digest", "hub.digest").alias("a"), F.least("digest", "hub.digest").alias("b")).distinct()
@@ -193,8 +211,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketches = texts.select("digest", "sketch")
     tried = stage_table(pruned(stars, sketches))
     first = stage_table(verified(docs, texts, tried))
-    classes = components(first)
-    placed = members.select("key", "digest", "n").join(classes, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", F.coalesce("root", "digest").alias("root"))
+    placed = stage_table(in_classes(members, components(first)))
+    again = stage_table(pruned(towards_largest(placed).join(tried, ["a", "b"], "left_anti"), sketches))
+    first = stage_table(first.unionByName(verified(docs, texts, again)))
+    tried = tried.unionByName(again)
+    placed = stage_table(in_classes(members, components(first)))
     mixed_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("lo <> hi").select("key", "blocks")
     own = F.pmod(F.xxhash64("digest"), "blocks").cast("int")
     squares = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, own).alias("x"), F.greatest(i, own).alias("y")))
@@ -227,7 +248,7 @@ def across_classes(data: pa.Table) -> pa.Table:
     left = np.searchsorted(own[order], x, side="right")
     digest, root = np.array(data.column("digest").to_pylist())[order], np.unique(data.column("root").to_pylist(), return_inverse=True)[1][order]
     n = data.column("n").to_numpy()[order]
-    sketch = np.frombuffer(b"".join(data.column("sketch").to_pylist()), np.uint16).reshape(len(n), SIGNS)[order]
+    sketch = np.frombuffer(b"".join(data.column("sketch").to_pylist()), np.uint8).reshape(len(n), SIGNS)[order]
     keys = np.array(data.column("keys").to_pylist(), np.int64)[order]
     a, b = [], []
     for low in range(0, left, 256):
@@ -255,7 +276,7 @@ def pruned(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SIGNS) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIGNS) for c in ("sa", "sb"))
                 yield batch.select(["a", "b"]).filter(pa.array(agreement(x, y) >= AGREE))
 
     both = pairs.join(sketches.select(F.col("digest").alias("a"), F.col("sketch").alias("sa")), "a").join(sketches.select(F.col("digest").alias("b"), F.col("sketch").alias("sb")), "b")
