@@ -7,7 +7,7 @@ text is paired with the bucket's most shared text, its hub; links make classes;
 hold several classes, texts outside the largest are paired with TRIES texts of it, which differ from
 bucket to bucket; links make larger classes; buckets that still hold several classes pair their texts across classes. A pair is a candidate where AGREE of the SIGNS
 minima of the distinct shingles agree (those of a pair that links agree in four fifths, with a
-standard deviation of 0.025), and comes from the first bucket that it shares. Large buckets are dealt
+standard deviation of 0.013), and comes from the first bucket that it shares. Large buckets are dealt
 into squares of BLOCK by BLOCK texts. So no link between different texts of different classes is left
 out, no task holds a whole bucket, and no group is expanded into all its pairs. A pair links if its shingle sets have a Jaccard
 similarity of 0.8 or more and its words align, within a band, with an edit similarity of 0.8 or more.
@@ -34,7 +34,9 @@ from .common import stage_table, table
 from .substrings import word_units
 
 SHINGLE, SIMILARITY, REPS = 5, 0.8, 20
-SIGNS, AGREE, BLOCK, TRIES = 256, 0.7, 2048, 4
+SIGNS, AGREE, BLOCK, TRIES = 1024, 0.75, 2048, 4
+#: Four-bit signs that two bytes have in common, by their exclusive or.
+ALIKE = np.array([(not x & 15) + (not x >> 4) for x in range(256)], np.uint8)
 SEEDS = R.mixed(np.arange(1, REPS + 1, dtype=np.uint64) * R.BASE)
 FACTORS = R.mixed(np.arange(1001, 1001 + SIGNS, dtype=np.uint64) * R.BASE) | np.uint64(1)
 
@@ -65,10 +67,10 @@ def order_sketches(grams: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.n
     """Documents with shingles, their keys and the signs of their distinct shingles."""
     with_any, start, size = np.unique(doc, return_index=True, return_counts=True)
     if not len(with_any):
-        return with_any, np.empty((0, REPS), np.uint64), np.empty((0, SIGNS), np.uint8)
+        return with_any, np.empty((0, REPS), np.uint64), np.empty((0, SIGNS // 2), np.uint8)
     marked = labelled(grams, doc)
     top = np.iinfo(np.uint64).max
-    keys, sketch = np.empty((len(with_any), REPS), np.uint64), np.empty((len(with_any), SIGNS), np.uint8)
+    keys, sketch = np.empty((len(with_any), REPS), np.uint64), np.zeros((len(with_any), SIGNS // 2), np.uint8)
     for j, seed in enumerate(SEEDS):
         h = R.mixed(marked ^ seed)
         one = np.minimum.reduceat(h, start)
@@ -83,13 +85,13 @@ def order_sketches(grams: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.n
         before = at_one < at_two
         keys[:, j] = R.mixed(np.where(before, one, two) * R.BASE + np.where(before, two, one)) ^ seed
     for j, factor in enumerate(FACTORS):  # a least value has few bits at its top, so its middle is kept
-        sketch[:, j] = (np.minimum.reduceat(grams * factor, start) >> np.uint64(24)) & np.uint64(0xFF)
+        sketch[:, j // 2] |= ((np.minimum.reduceat(grams * factor, start) >> np.uint64(24)) & np.uint64(15)).astype(np.uint8) << (j % 2 * 4)
     return with_any, keys, sketch
 
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of signs that agree, an estimate of the Jaccard similarity; works on any leading shape."""
-    return (a == b).mean(-1)
+    """An estimate of the Jaccard similarity: the share of signs that agree, without the sixteenth of the others that do so by chance."""
+    return (ALIKE[a ^ b].sum(-1, dtype=np.int64) / SIGNS - 1 / 16) / (15 / 16)
 
 
 def alignment_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
@@ -248,7 +250,7 @@ def across_classes(data: pa.Table) -> pa.Table:
     left = np.searchsorted(own[order], x, side="right")
     digest, root = np.array(data.column("digest").to_pylist())[order], np.unique(data.column("root").to_pylist(), return_inverse=True)[1][order]
     n = data.column("n").to_numpy()[order]
-    sketch = np.frombuffer(b"".join(data.column("sketch").to_pylist()), np.uint8).reshape(len(n), SIGNS)[order]
+    sketch = np.frombuffer(b"".join(data.column("sketch").to_pylist()), np.uint8).reshape(len(n), SIGNS // 2)[order]
     keys = np.array(data.column("keys").to_pylist(), np.int64)[order]
     a, b = [], []
     for low in range(0, left, 256):
@@ -260,8 +262,8 @@ def across_classes(data: pa.Table) -> pa.Table:
             if x == y:
                 ok &= np.arange(low, high)[:, None] < np.arange(other, min(other + 1024, len(n)))[None]
             u, v = np.nonzero(ok)
-            for part in range(0, len(u), 1 << 16):
-                p, q = low + u[part : part + (1 << 16)], other + v[part : part + (1 << 16)]
+            for part in range(0, len(u), 1 << 15):
+                p, q = low + u[part : part + (1 << 15)], other + v[part : part + (1 << 15)]
                 fine = agreement(sketch[p], sketch[q]) >= AGREE
                 p, q = p[fine], q[fine]
                 same = keys[p] == keys[q]
@@ -276,7 +278,7 @@ def pruned(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIGNS) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIGNS // 2) for c in ("sa", "sb"))
                 yield batch.select(["a", "b"]).filter(pa.array(agreement(x, y) >= AGREE))
 
     both = pairs.join(sketches.select(F.col("digest").alias("a"), F.col("sketch").alias("sa")), "a").join(sketches.select(F.col("digest").alias("b"), F.col("sketch").alias("sb")), "b")
