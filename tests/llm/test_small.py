@@ -197,3 +197,20 @@ def test_empty_tables(spark, docs):
     assert neardup.near_duplicates(none).count() == mixing.mix(none).count() == quality.judge(none, labels).count() == 0
     vectors = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert ann.nearest(vectors, vectors).count() == 0
+
+
+def test_classes_do_not_depend_on_the_size_of_squares(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(rng.choice("xyz") + w if rng.random() < 0.04 else w for w in base)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole = rows_of(neardup.near_duplicates(docs), "doc_id", "class_id")
+    plain = {i: i for i, _ in rows}
+    for i, a in rows:
+        for j, b in rows[:i]:
+            if neardup.alike(a.encode(), b.encode()):
+                x, y = sorted((plain[i], plain[j]))
+                plain = {k: x if v == y else v for k, v in plain.items()}
+    assert whole == sorted(plain.items(), key=repr)
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    assert rows_of(neardup.near_duplicates(docs), "doc_id", "class_id") == whole
