@@ -10,8 +10,9 @@ of a stratum is then at most alpha for each share, together with probability 1 -
 Defined cases: a null or empty text has no words and fails the base rule; a null stratum is a
 stratum of its own; several labels of one document count once, as good only if all are; repeated
 rows are judged alike; an empty table gives an empty result; no labels certify nothing. Extra
-columns are ignored. Only the features of labelled documents are shuffled; the cutoffs, a row for
-each stratum, are joined to the rest.
+columns are ignored. Only the features of labelled documents are shuffled. The cutoffs, a row for
+each stratum, are written and counted; up to STRATA of them are broadcast, so that no text moves,
+more are joined by stratum.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ ALPHA, DELTA = 0.005, 0.05
 CUTOFFS = tuple(0.5 * 0.75**i for i in range(20))
 SHARES = ("symbols", "dup_lines", "repeats", "capitals")
 WINDOW = 8
+#: Strata whose cutoffs (five numbers each, some megabytes in all) may be broadcast.
+STRATA = 20_000
 
 
 def repeated_words(hashes: Column) -> Column:
@@ -122,6 +125,9 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: floa
     rows = with_shares(stage_table(found) if staged else found)
     good = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_good")).where("_good = 1")
     cuts = certified_cutoffs(rows.join(good, F.col("doc_id") == F.col("_id")).select(stratum, *SHARES), stratum, alpha, delta).withColumnRenamed(stratum, "_stratum")
+    if staged:
+        cuts = stage_table(cuts)
+        cuts = F.broadcast(cuts) if cuts.count() <= STRATA else cuts
     over = [F.coalesce(F.col(s) > F.col(f"cut_{s}"), F.lit(False)) for s in SHARES]
     rejected = over[0]
     for x in over[1:]:
