@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import bounded_batches, table
 
 LEAF, STEP = 1 << 14, 64
 _ENCODINGS: dict = {}
@@ -102,6 +102,7 @@ def decode_tree(ids: list[int], decode: Callable[[list[int]], bytes], leaf: int
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids."""
+    bounded_batches(docs.sparkSession)
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,6 +38,13 @@ def stage_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, limit: str = "4m") -> None:
+    """Bound the Arrow batches of this session by bytes as well as rows, unless it has a bound: long texts fill memory otherwise."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()) > 1 << 28:
+        spark.conf.set(key, limit)
+
+
 def group_count(df: DataFrame, target_bytes: int = 8 << 20) -> int:
     """Groups to deal rows into: follows the input's size and the session's shuffle partitions."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

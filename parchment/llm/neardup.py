@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import repeats as R
-from .common import stage_table, table
+from .common import bounded_batches, stage_table, table
 from .substrings import word_units
 
 SHINGLE, SIMILARITY, REPS = 5, 0.8, 20
@@ -198,6 +198,7 @@ def towards_largest(placed: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, digest, root (a name of the class), class_id (its least doc_id), of every row."""
+    bounded_batches(docs.sparkSession)
     rows = stage_table(sketched(docs))
     texts = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     keyed = texts.where("keys IS NOT NULL").select("digest", "n", F.explode("keys").alias("key"))
