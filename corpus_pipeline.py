@@ -27,22 +27,12 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return first_of_classes(docs)
 
 
-def without_shared_bytes(batches):
-    """Text from the bytes left; a character that lost some of its bytes goes."""
-    import pyarrow as pa
-
-    for batch in batches:
-        yield batch.set_column(batch.schema.get_field_index("kept"), "kept", pa.array([b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()], pa.string()))
-
-
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 400 bytes that start at two places go, everywhere; their documents stay."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    left = dedup_bytes(docs, carry=others).select("doc_id", "kept", *others)
-    schema = left.schema.simpleString()[len("struct<") : -1].replace("kept:binary", "kept:string")
-    text = left.mapInArrow(without_shared_bytes, schema)
+    left = dedup_bytes(docs, carry=others, as_text=True)
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
-    return text.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return left.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

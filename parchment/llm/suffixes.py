@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import repeats as R
-from .common import table
+from .common import bounded_batches, table
 from .substrings import covered
 
 WINDOW, GRAM = 400, 32
@@ -206,9 +206,13 @@ def shared_windows(key, doc_id, local, start, windows, copies, sizes, body):
 METHOD = R.Method(byte_units, WINDOW, GRAM, byte_payload, shared_windows)
 
 
-def dedup_bytes(docs: DataFrame, groups: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), and carried columns."""
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+def dedup_bytes(docs: DataFrame, groups: int | None = None, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), and carried columns.
+
+    With ``as_text``, kept is a string; a character that lost some of its bytes goes.
+    """
+    bounded_batches(docs.sparkSession)
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept " + ("string" if as_text else "binary")
 
     def finish(doc_ids, texts, runs, first, number, answers) -> pa.Table:
         out: list[list] = [[], [], [], [], []]
@@ -218,9 +222,9 @@ def dedup_bytes(docs: DataFrame, groups: int | None = None, carry: tuple[str, ..
                 kept.append(text[at:a])
                 at = b
             left = b"".join([*kept, text[at:]])
-            for column, value in zip(out, (len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left), strict=True):
+            for column, value in zip(out, (len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if as_text else left), strict=True):
                 column.append(value)
-        return pa.table([pa.array(doc_ids, pa.int64()), *(pa.array(out[i], pa.int64()) for i in range(3)), pa.array(out[3], pa.string()), pa.array(out[4], pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        return pa.table([pa.array(doc_ids, pa.int64()), *(pa.array(out[i], pa.int64()) for i in range(3)), pa.array(out[3], pa.string()), pa.array(out[4], pa.string() if as_text else pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return R.repeated_runs(docs, METHOD, finish, schema, groups, carry)
 
