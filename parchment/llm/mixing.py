@@ -59,8 +59,12 @@ def sainte_lague(df: DataFrame, group: list[str], weight: str, seats: str, order
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row for each document: doc_id, source, size, source_size, target, taken; passes and cuts say which words; and carried columns."""
-    sized = stage_table(docs.select("doc_id", "source", *carry, F.size(words(F.col("text"))).cast("long").alias("size"), F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("h")))
-    return mix_sized(sized, weights, share, cap, seed, carry)
+    return mix_sized(stage_table(measured(docs, seed, carry)), weights, share, cap, seed, carry)
+
+
+def measured(docs: DataFrame, seed: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, carried columns, size and h (the seeded order)."""
+    return docs.select("doc_id", "source", *carry, F.size(words(F.col("text"))).cast("long").alias("size"), F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("h"))
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
@@ -126,14 +130,18 @@ def mix_sized(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row for each full pass over a document and one for the words of a partial pass, joined by a space."""
-    inner = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
-    taken = mix(inner, weights, share, cap, seed, ("_row",))
+    """The mix itself, with the columns of ``docs``: a row for each full pass over a document and one for the words of a partial pass, joined by a space.
+
+    Rows are numbered and written once; the mix works on numbers and sizes, and texts move in one join by number.
+    """
+    inner = docs.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("_rid"), F.struct(*docs.columns).alias("_row"))
+    held = stage_table(measured(inner, seed, ("_rid", "_row")))
+    taken = mix_sized(held.drop("_row"), weights, share, cap, seed, ("_rid",)).where("taken > 0").join(held.select("_rid", "_row"), "_rid")
     w = words(F.col("_row.text"))
     piece = lambda c: F.slice(w, (F.col(f"{c}.first") + 1).cast("int"), F.col(f"{c}.count").cast("int"))
     part = F.array_join(F.concat(*[F.when(F.col(f"{c}.count") > 0, piece(c)).otherwise(F.array().cast("array<string>")) for c in ("cut", "wrapped")]), " ")
     texts = F.concat(F.array_repeat(F.col("_row.text"), F.col("passes").cast("int")), F.when(F.col("cut.count") + F.col("wrapped.count") > 0, F.array(part)).otherwise(F.array().cast("array<string>")))
-    rows = taken.where("taken > 0").withColumn("_text", F.explode(texts))
+    rows = taken.withColumn("_text", F.explode(texts))
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("bigint")}
     return rows.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
