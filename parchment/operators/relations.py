@@ -80,3 +80,25 @@ def running_within(rows: DataFrame, group: str, order: str, amount: str, cap: fl
     """Running sum of a ledger and whether it is within the cap."""
     run = W.partitionBy(group).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return rows.withColumn("spent", F.round(F.sum(F.col(amount).cast("decimal(18,2)")).over(run).cast("double"), 2)).withColumn("within", F.col("spent") <= cap)
+
+
+def term_samples(rows: DataFrame, term: str, order: str, first: int = 3) -> DataFrame:
+    """Count of each term and its ``first`` samples; the limit by rank reaches the map side, so a hot term moves few rows."""
+    counts = rows.groupBy(F.col(term).alias("term")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = rows.select(F.col(term).alias("_term"), F.col(order).alias("_at")).withColumn("_r", F.row_number().over(W.partitionBy("_term").orderBy("_at"))).where(F.col("_r") <= first)
+    samples = ranked.groupBy("_term").agg(F.array_join(F.array_sort(F.collect_list("_at")).cast("array<string>"), ",").alias("samples"))
+    return counts.join(samples, F.col("term").eqNullSafe(F.col("_term"))).drop("_term")
+
+
+def conformance(rows: DataFrame, group: str, value: str, vocabulary: tuple[str, ...]) -> DataFrame:
+    """Values seen in each group, those in the vocabulary, and their share; blank values are not seen."""
+    folded = rows.select(group, F.lower(F.trim(F.col(value))).alias("_v")).where("_v <> ''")
+    counts = folded.groupBy(group).agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("_v").isin(*vocabulary)).alias("in_vocab"))
+    return counts.withColumn("rate", F.round(F.col("in_vocab") / F.col("seen"), 4))
+
+
+def nonreciprocal(edges: DataFrame, source: str, target: str) -> DataFrame:
+    """Distinct edges whose reverse is missing."""
+    one = edges.select(source, target).where(F.col(source) != F.col(target)).distinct()
+    back = one.select(F.col(target).alias("_s"), F.col(source).alias("_t"))
+    return one.join(back, (F.col(source) == F.col("_s")) & (F.col(target) == F.col("_t")), "left_anti")

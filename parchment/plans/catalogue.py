@@ -227,3 +227,44 @@ def unsent_take(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next hundred requests that were not sent."""
     sent = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("o_orderkey"))
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(sent, "o_orderkey", "left_anti").orderBy("o_orderkey").limit(100)
+
+
+_COLLAPSED = "coalesce((SELECT string_agg(c, '' ORDER BY i) FROM (SELECT i, substr(f, i, 1) AS c, CASE WHEN i > 1 THEN substr(f, i - 1, 1) ELSE '' END AS b FROM (SELECT unnest(generate_series(1, length(f))) AS i)) WHERE c <> b), '')"
+
+
+@query(f"SELECT token, {_COLLAPSED} AS phonetic FROM (SELECT token, {_sql_fold('token')} AS f FROM (SELECT DISTINCT unnest(string_split({_NAME.format('p_name')}, ' ')) AS token FROM part) WHERE token <> '')")
+def phonetic_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = table(spark, sf_dir, "part").select(F.explode(T.name_tokens(F.col("p_name"))).alias("token")).distinct()
+    return tokens.select("token", T.phonetic_fold(F.col("token")).alias("phonetic"))
+
+
+@query("SELECT term, n, samples FROM (SELECT p_name AS term, count(*) AS n, array_to_string(list_slice(list(p_partkey ORDER BY p_partkey), 1, 3), ',') AS samples FROM part GROUP BY p_name)")
+def term_audit_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.term_samples(table(spark, sf_dir, "part").select("p_name", "p_partkey"), "p_name", "p_partkey")
+
+
+@query("SELECT c_nationkey, seen, in_vocab, round(in_vocab::DOUBLE / seen, 4) AS rate FROM (SELECT c_nationkey, count(*) AS seen, count(*) FILTER (lower(trim(c_mktsegment)) IN ('building', 'furniture', 'machinery')) AS in_vocab FROM customer WHERE trim(c_mktsegment) <> '' GROUP BY c_nationkey)")
+def vocab_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.conformance(table(spark, sf_dir, "customer"), "c_nationkey", "c_mktsegment", ("building", "furniture", "machinery"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, coalesce(n, 0) AS principals FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey WHERE coalesce(n, 0) <> CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE coalesce(n, 0) END")
+def event_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stand for events: one principal for status F, two for O."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    found = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    n = F.coalesce("n", F.lit(0))
+    wrong = n != F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(n)
+    return found.where(wrong).select("o_orderkey", "o_orderstatus", n.alias("principals"))
+
+
+@query("WITH e AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_partkey <> l_suppkey) SELECT a, b FROM e WHERE NOT EXISTS (SELECT 1 FROM e r WHERE r.a = e.b AND r.b = e.a)")
+def nonreciprocal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
+    return R.nonreciprocal(links, "a", "b")
+
+
+@query("SELECT DISTINCT doc_id FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)")
+def extra_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = table(spark, sf_dir, "documents").select("doc_id")
+    return table(spark, sf_dir, "labels").select("doc_id").join(known, "doc_id", "left_anti").distinct()
