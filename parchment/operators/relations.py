@@ -102,3 +102,16 @@ def nonreciprocal(edges: DataFrame, source: str, target: str) -> DataFrame:
     one = edges.select(source, target).where(F.col(source) != F.col(target)).distinct()
     back = one.select(F.col(target).alias("_s"), F.col(source).alias("_t"))
     return one.join(back, (F.col(source) == F.col("_s")) & (F.col(target) == F.col("_t")), "left_anti")
+
+
+def page_chunks(pages: DataFrame, record: str, order: tuple[str, ...], size: int) -> DataFrame:
+    """Ranges of ``size`` pages of each record, named by their first and last page."""
+    at = pages.select(record, F.row_number().over(W.partitionBy(record).orderBy(*order)).alias("_n"))
+    ranges = at.groupBy(record, F.floor((F.col("_n") - 1) / size).alias("_c")).agg(F.min("_n").alias("_a"), F.max("_n").alias("_b"), F.count(F.lit(1)).alias("pages"))
+    return ranges.select(record, F.concat(F.col(record).cast("string"), F.format_string("--p%02d-%02d", "_a", "_b")).alias("chunk_id"), "pages")
+
+
+def matching_rules(keywords: Column, rules: tuple[tuple[str, tuple[str, ...], int], ...]) -> Column:
+    """Names of the rules (name, cases, sequence) all of whose cases are among the keywords, in sequence."""
+    given = [F.when(F.size(F.array_except(F.array(*map(F.lit, cases)).cast("array<string>"), keywords)) == 0, name) for name, cases, _ in sorted(rules, key=lambda r: r[2])]
+    return F.array_join(F.array_compact(F.array(*given)), ",")

@@ -268,3 +268,34 @@ def nonreciprocal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extra_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = table(spark, sf_dir, "documents").select("doc_id")
     return table(spark, sf_dir, "labels").select("doc_id").join(known, "doc_id", "left_anti").distinct()
+
+
+@query(f"SELECT k AS type, count(*) AS edges, sum(w)::BIGINT AS links, count(*) FILTER (n > 1) AS cross_entry FROM (SELECT s, k, t, count(*) AS w, count(DISTINCT e) AS n FROM ({_LINKS}) GROUP BY s, k, t) GROUP BY k")
+def graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _edges(spark, sf_dir).groupBy("type").agg(F.count(F.lit(1)).alias("edges"), F.sum("weight").alias("links"), F.count_if(F.col("entries") > 1).alias("cross_entry"))
+
+
+@query("""SELECT doc_id, array_to_string(list_distinct(regexp_extract_all(coalesce(text, ''), '[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}')).list_sort(), ';') AS dates,
+array_to_string(list_distinct(regexp_extract_all(coalesce(text, ''), '[A-Z][a-z]+ [A-Z][a-z]+')).list_sort(), ';') AS names FROM documents""")
+def page_index_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lambda p: F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(p), F.lit(0)))), ";")
+    return table(spark, sf_dir, "documents").select("doc_id", found("[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}").alias("dates"), found("[A-Z][a-z]+ [A-Z][a-z]+").alias("names"))
+
+
+@query("SELECT conv_id, printf('%d--p%02d-%02d', conv_id, min(n), max(n)) AS chunk_id, count(*) AS pages FROM (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations) GROUP BY conv_id, (n - 1) // 2")
+def page_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns stand for pages; chunks of two."""
+    return R.page_chunks(table(spark, sf_dir, "conversations"), "conv_id", ("turn", "role", "text"), 2)
+
+
+#: Rules of an id, their cases and their sequence; a rule applies where all its cases hold.
+_RULES = (("r1", (), 30), ("r2", ("en",), 10), ("r3", ("en", "long"), 20), ("r4", ("labelled",), 5))
+
+
+@query("""SELECT doc_id, array_to_string(list_filter(['r4', 'r2', 'r3', 'r1'], lambda r: r = 'r1' OR (r = 'r2' AND en) OR (r = 'r3' AND en AND big) OR (r = 'r4' AND lab)), ',') AS rules
+FROM (SELECT d.doc_id, coalesce(lang = 'en', false) AS en, coalesce(n_chars >= 600, false) AS big, l.doc_id IS NOT NULL AS lab FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = d.doc_id)""")
+def keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("_l", F.lit("labelled"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").join(labelled, "doc_id", "left")
+    keywords = F.array_compact(F.array("lang", F.when(F.col("n_chars") >= 600, "long"), "_l"))
+    return docs.select("doc_id", R.matching_rules(keywords, _RULES).alias("rules"))
