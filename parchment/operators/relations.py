@@ -30,14 +30,15 @@ def numbered(rows: DataFrame, group: str, order: str, name: str = "n") -> DataFr
     return rows.withColumn(name, F.row_number().over(W.partitionBy(group).orderBy(order)).cast("bigint"))
 
 
-def near_copies(rows: DataFrame, group: str, order: str, text: str, ahead: int = 4, prefix: int = 800) -> DataFrame:
-    """Pairs of a row and one of the next ``ahead`` rows of its group with the same start of text."""
+def near_copies(rows: DataFrame, group: str, order: str, text: str, ahead: int = 4) -> DataFrame:
+    """Pairs of a row and one of the next ``ahead`` rows of its group with the same text, by its SHA-256."""
     w = W.partitionBy(group).orderBy(order)
-    start = rows.select(group, order, F.substring(squeezed(F.col(text)), 1, prefix).alias("_t"))
+    held = squeezed(F.col(text))
+    start = rows.select(group, order, F.when(held != "", F.sha2(held, 256)).alias("_t"))
     for k in range(1, ahead + 1):
         start = start.withColumn(f"_o{k}", F.lead(order, k).over(w)).withColumn(f"_t{k}", F.lead("_t", k).over(w))
     pairs = F.filter(F.array(*[F.struct(F.col(f"_o{k}").alias("other"), F.col(f"_t{k}").alias("t")) for k in range(1, ahead + 1)]), lambda p: p["t"] == F.col("_t"))
-    return start.where("_t <> ''").select(group, order, F.explode(pairs).alias("p")).select(group, order, F.col("p.other").alias("other"))
+    return start.where("_t IS NOT NULL").select(group, order, F.explode(pairs).alias("p")).select(group, order, F.col("p.other").alias("other"))
 
 
 def chronology_breaks(rows: DataFrame, group: str, order: str, date: str, days: int = 30) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..functions import text as T
 from ..operators import relations as R
+from ..operators.ratios import near_copies_by_ratio
 from ..session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,11 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def plain_queries() -> dict[str, Query]:
+    """Queries that have no SQL; the tests hold them against brute force."""
+    return {f.__name__: f for f in (near_dup_next4_ratio,)}
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)
 
@@ -132,6 +138,11 @@ def near_dup_next4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.near_copies(table(spark, sf_dir, "documents"), "source", "doc_id", "text")
 
 
+def near_dup_next4_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL has no SequenceMatcher. Documents have no principal."""
+    return near_copies_by_ratio(table(spark, sf_dir, "documents"), "source", "doc_id", "text")
+
+
 @query("""WITH o AS (SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders),
 p AS (SELECT *, substr(day, 1, 4)::INT * 372 + substr(day, 6, 2)::INT * 31 + substr(day, 9, 2)::INT AS v FROM o),
 q AS (SELECT *, lag(v) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS b FROM p) SELECT o_custkey, o_orderkey, day FROM q WHERE v < b - 30""")
