@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-word blocks.
 
 Sources take weights 5, 2, 1 (repeating, by code point, null last) of a share of all words; a
-target stops at ``cap`` times its source and the excess goes to the others by weight. Targets
+target stops at ``cap`` times its source and the excess goes to the others by weight. A block is no
+larger than the smallest target above 0, so that every such source gets one. Targets
 become whole blocks by highest quotients: first per source, then per shard of a source. In its
 shard a document has an interval of words in a seeded order, and the shard's blocks are taken as
 full passes and one run of blocks that starts at a seeded block and wraps around.
@@ -22,7 +23,7 @@ from .common import stage_table, table, words
 
 WEIGHTS = (5, 2, 1)
 SHARE, CAP, SEED = 1.5, 2.0, "mix-1"
-#: Words in a shard at least; shards overall at most (besides one for each source); blocks in all words.
+#: Words in a shard at least; shards overall at most (besides one for each source); blocks in all words, or more for the sake of a small source.
 SHARD_WORDS, SHARDS, BLOCKS = 200_000, 20_000, 1_000_000
 
 
@@ -92,7 +93,8 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap
 def mix_sized(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
     targets = (
         source_targets(sized, weights, share, cap)
-        .withColumn("block", F.greatest(F.lit(1), F.floor(F.col("total_size") / BLOCKS)))
+        .withColumn("_least", F.min(F.when(F.col("target") > 0, F.col("target"))).over(W.partitionBy(F.lit(0))))
+        .withColumn("block", F.greatest(F.lit(1), F.floor(F.least(F.col("total_size") / BLOCKS, "_least"))))
         .withColumn("shard_words", F.greatest(F.lit(SHARD_WORDS), F.floor(F.col("total_size") / SHARDS)))
         .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.col("shard_words"))))
         .withColumn("seats", F.round(F.sum("target").over(W.partitionBy(F.lit(0))) / F.col("block")).cast("long"))
