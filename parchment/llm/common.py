@@ -46,7 +46,8 @@ def bounded_batches(spark: SparkSession, limit: str = "4m") -> None:
 
 
 def group_count(df: DataFrame, target_bytes: int = 8 << 20) -> int:
-    """Groups to deal rows into: follows the input's size and the session's shuffle partitions."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Groups to deal rows into: follows the size of the tables read and the session's shuffle partitions."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     held = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(held, min(size // target_bytes, 1 << 20), 1)

@@ -113,10 +113,52 @@ class Method:
     gram: int
     #: (units, prefix sums, starts, windows) of runs, to the bytes each sends.
     payload: Callable
-    #: Runs of a bucket to (run, offset, windows, source doc, source start) arrays.
+    #: Columns of a bucket's runs, Sent, to (run, offset, windows, source doc, source start) arrays.
     resolve: Callable
 
 
+@dataclass
+class Sent:
+    """Runs of a bucket. Documents are in the order of (doc_id, tie, local); body: their payloads end to end, sizes: bytes of each."""
+
+    run: np.ndarray
+    key: np.ndarray
+    doc_id: np.ndarray
+    tie: np.ndarray
+    local: np.ndarray
+    start: np.ndarray
+    windows: np.ndarray
+    copies: np.ndarray
+    sizes: np.ndarray
+    body: np.ndarray
+
+
+SENT = ("<i4", "<u8", "<i8", "<i8", "<i4", "<i4", "<i4", "u1", "<u4", "u1")
+
+
+@dataclass
+class Found:
+    """What one method found in a group: all runs, the first of each content, content numbers, and the buckets' answers
+    (content number, offset, windows, source doc, source start)."""
+
+    runs: Runs
+    first: np.ndarray
+    number: np.ndarray
+    answers: list
+
+
+@dataclass
+class Chunk:
+    """Units of the documents from ``first`` on; grams by size, made once for all methods."""
+
+    first: int
+    units: np.ndarray
+    sums: np.ndarray
+    bounds: np.ndarray
+    doc: np.ndarray
+    grams: dict
+
+
 def chunks(texts: list[bytes], most: int = CHUNK) -> list[tuple[int, int]]:
     """Ranges of documents of about ``most`` bytes."""
     out, first, size = [], 0, 0
@@ -128,15 +170,23 @@ def chunks(texts: list[bytes], most: int = CHUNK) -> list[tuple[int, int]]:
     return out + ([(first, len(texts))] if first < len(texts) else [])
 
 
-def windows_of(method: Method, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """units, prefix sums, document bounds, and for windows inside documents: place, document, minimizer."""
+def chunk_of(method: Method, texts: list[bytes], first: int) -> Chunk:
     units, bounds = method.units(texts)
-    sums = prefix(units)
-    least = sliding_min(gram_hashes(sums, method.gram), method.window - method.gram + 1)
-    doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    n = max(0, len(units) - method.window + 1)
+    return Chunk(first, units, prefix(units), bounds, np.repeat(np.arange(len(texts)), np.diff(bounds)), {})
+
+
+def grams_of(method: Method, chunk: Chunk) -> np.ndarray:
+    if method.gram not in chunk.grams:
+        chunk.grams[method.gram] = gram_hashes(chunk.sums, method.gram)
+    return chunk.grams[method.gram]
+
+
+def windows_of(method: Method, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows inside documents: place, document, minimizer."""
+    least = sliding_min(grams_of(method, chunk), method.window - method.gram + 1)
+    doc, n = chunk.doc, max(0, len(chunk.units) - method.window + 1)
     place = np.flatnonzero(doc[:n] == doc[len(doc) - n :]) if n else np.empty(0, np.int64)
-    return units, sums, bounds, place, doc[place], least[place]
+    return place, doc[place], least[place]
 
 
 def runs_of(place: np.ndarray, doc: np.ndarray, least: np.ndarray, bounds: np.ndarray, sums: np.ndarray, window: int) -> Runs:
@@ -164,21 +214,29 @@ def unblob(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def grouped_documents(docs: DataFrame, groups: int, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text, carried columns and the group that holds all rows of a doc_id."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"carried_{c}") for c in carry])
-    return rows.withColumn("gid", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(7)), F.lit(groups)).cast("int"))
+def grouped_documents(docs: DataFrame, groups: int, carry: bool = False) -> DataFrame:
+    """doc_id, text, the order of rows with equal doc_id, the whole row if it is carried, and the group of the row.
+
+    Rows of one doc_id, or of none, are dealt over all groups by their text.
+    """
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]).alias("carried")] if carry else []),
+    )
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    return rows.withColumn("gid", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "tie", F.lit(7)), F.lit(groups)).cast("int"))
 
 
 def ordered(data: pa.Table) -> list[int]:
-    """A group's rows by (doc_id, text), null ids first; equal rows keep any order."""
-    ids, texts = data.column("doc_id").to_pylist(), data.column("text").to_pylist()
-    return sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i]))
+    """A group's rows by (doc_id, tie), null ids first; equal rows keep any order."""
+    ids, ties = data.column("doc_id").to_pylist(), data.column("tie").to_pylist()
+    return sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, ties[i]))
 
 
-def in_order(data: pa.Table) -> tuple[list, list[bytes]]:
-    ids, texts, order = data.column("doc_id").to_pylist(), data.column("text").to_pylist(), ordered(data)
-    return [ids[i] for i in order], [texts[i].encode() for i in order]
+def in_order(data: pa.Table) -> tuple[list, list[bytes], np.ndarray]:
+    ids, texts, ties, order = data.column("doc_id").to_pylist(), data.column("text").to_pylist(), data.column("tie").to_numpy(), ordered(data)
+    return [ids[i] for i in order], [texts[i].encode() for i in order], ties[order]
 
 
 def packed(parts: dict[int, bytes], gid: int) -> pa.Table:
@@ -195,72 +253,70 @@ def by_bucket(key: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
 PACKED = "bucket int, gid int, data binary"
 
 
-def distinct_runs(method: Method, texts: list[bytes], repeated: np.ndarray, hot: np.ndarray):
-    """Runs with a repeated minimizer, hot ones cut into single windows; yields by chunk (first document, runs, units, sums, bounds)."""
-    for a, b in chunks(texts):
-        units, sums, bounds, place, doc, least = windows_of(method, texts[a:b])
-        at = np.minimum(np.searchsorted(repeated, least), max(len(repeated) - 1, 0))
-        hit = repeated[at] == least if len(repeated) else np.zeros(len(least), bool)
-        place, doc, least = place[hit], doc[hit], least[hit]
-        if len(hot) and len(place):
-            at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
-            single = hot[at] == least
-            least = least.copy()
-            least[single] = span_hashes(sums, place[single], place[single] + method.window)
-        # windows that do not follow each other must not share a run
-        gap = np.ones(len(place), bool)
-        gap[1:] = (np.diff(place) != 1) | (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
-        first = np.flatnonzero(gap)
-        count = np.diff(np.append(first, len(place)))
-        start = place[first]
-        runs = Runs(doc[first], start - bounds[doc[first]] if len(first) else start, count, least[first], span_hashes(sums, start, start + count + method.window - 1))
-        yield a, runs, units, sums, bounds
-
-
-def folded(method: Method, texts: list[bytes], repeated: np.ndarray, hot: np.ndarray) -> tuple[Runs, np.ndarray, np.ndarray, list]:
-    """All runs of a group, the first run of each content, each run's content number, and the chunks' units."""
-    held, runs = [], []
-    for a, r, units, sums, bounds in distinct_runs(method, texts, repeated, hot):
-        r.doc = r.doc + a
-        runs.append(r)
-        held.append((a, units, sums, bounds, len(r.doc)))
+def repeating(method: Method, chunk: Chunk, repeated: np.ndarray, hot: np.ndarray) -> Runs:
+    """Runs of a chunk that have a repeated minimizer, hot ones cut into single windows."""
+    place, doc, least = windows_of(method, chunk)
+    at = np.minimum(np.searchsorted(repeated, least), max(len(repeated) - 1, 0))
+    hit = repeated[at] == least if len(repeated) else np.zeros(len(least), bool)
+    place, doc, least = place[hit], doc[hit], least[hit]
+    if len(hot) and len(place):
+        at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
+        single = hot[at] == least
+        least = least.copy()
+        least[single] = span_hashes(chunk.sums, place[single], place[single] + method.window)
+    # windows that do not follow each other must not share a run
+    gap = np.ones(len(place), bool)
+    gap[1:] = (np.diff(place) != 1) | (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(gap)
+    count = np.diff(np.append(first, len(place)))
+    start = place[first]
+    content = span_hashes(chunk.sums, start, start + count + method.window - 1)
+    return Runs(doc[first] + chunk.first, start - chunk.bounds[doc[first]] if len(first) else start, count, least[first], content)
+
+
+def folded(runs: list[Runs]) -> Found:
+    """All runs of a group, the first run of each content, and each run's content number."""
     every = Runs(*(np.concatenate([getattr(r, f) for r in runs]) if runs else np.empty(0, np.int64) for f in ("doc", "start", "windows", "key", "content")))
-    both = np.stack((every.key.astype(np.uint64), every.content.astype(np.uint64)), axis=1)
-    if len(both):
-        order = np.lexsort((every.content, every.key))
-        new = np.ones(len(order), bool)
-        new[1:] = (both[order[1:]] != both[order[:-1]]).any(axis=1)
-        number = np.empty(len(order), np.int64)
-        number[order] = np.cumsum(new) - 1
-        first = order[new]  # lexsort is stable: the first in document order
-    else:
-        number, first = np.empty(0, np.int64), np.empty(0, np.int64)
-    return every, first, number, held
-
-
-def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema: str, groups: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``finish(doc_ids, texts, runs, first, number, answers)`` makes a group's columns; answers: (content number, offset, windows, source doc, source start). Carried columns follow."""
+    if not len(every.key):
+        return Found(every, np.empty(0, np.int64), np.empty(0, np.int64), [])
+    order = np.lexsort((every.content, every.key))
+    new = np.ones(len(order), bool)
+    new[1:] = (every.key[order[1:]] != every.key[order[:-1]]) | (every.content[order[1:]] != every.content[order[:-1]])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return Found(every, order[new], number, [])  # lexsort is stable: the first in document order
+
+
+def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable, out_schema: str, groups: int | None = None, carry: bool = False) -> DataFrame:
+    """``finish(doc_ids, texts, found)`` makes a group's columns from what each method found, in the order of methods.
+
+    Methods share the units of texts and the exchanges. With ``carry``, the other columns of a row follow in a struct ``carried``.
+    """
     groups = groups or group_count(docs)
     buckets = groups
     rows = grouped_documents(docs, groups, carry)
+    every = range(len(methods))
 
     def minimizers(key: tuple, data: pa.Table) -> pa.Table:
-        _, texts = in_order(data)
-        keys, counts = [], []
+        _, texts, _ = in_order(data)
+        seen: list[list] = [[] for _ in every]
         for a, b in chunks(texts):
-            _, sums, bounds, place, doc, least = windows_of(method, texts[a:b])
-            if not len(place):
-                continue
-            r = runs_of(place, doc, least, bounds, sums, method.window)
-            k, c = np.unique(r.key, return_counts=True)
-            twice = doubled_minima(gram_hashes(sums, method.gram), least, place, method.window - method.gram + 1)
-            keys += [k, twice]
-            counts += [c, np.full(len(twice), 2)]
-        if not keys:
-            return packed({}, 0)
-        k, at = np.unique(np.concatenate(keys), return_inverse=True)
-        c = np.bincount(at, weights=np.concatenate(counts), minlength=len(k)).astype(np.uint32)
-        return packed({b: blob(k[i], c[i]) for b, i in by_bucket(k, buckets)}, key[0].as_py())
+            chunk = chunk_of(methods[0], texts[a:b], a)
+            for m, method in enumerate(methods):
+                place, doc, least = windows_of(method, chunk)
+                if not len(place):
+                    continue
+                r = runs_of(place, doc, least, chunk.bounds, chunk.sums, method.window)
+                twice = doubled_minima(grams_of(method, chunk), least, place, method.window - method.gram + 1)
+                k, c = np.unique(r.key, return_counts=True)
+                seen[m] += [(k, c), (twice, np.full(len(twice), 2))]
+        parts = {}
+        for m in every:
+            if seen[m]:
+                k, at = np.unique(np.concatenate([k for k, _ in seen[m]]), return_inverse=True)
+                c = np.bincount(at, weights=np.concatenate([c for _, c in seen[m]]), minlength=len(k)).astype(np.uint32)
+                parts |= {b * len(methods) + m: blob(k[i], c[i]) for b, i in by_bucket(k, buckets)}
+        return packed(parts, key[0].as_py())
 
     def recurring(key: tuple, data: pa.Table) -> pa.Table:
         gids = data.column("gid").to_pylist()
@@ -275,6 +331,9 @@ def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema:
             low += len(own)
         return pa.table({"bucket": pa.array([key[0].as_py()] * len(back), pa.int32()), "gid": pa.array(list(back), pa.int32()), "data": pa.array(list(back.values()), pa.binary())})
 
+    def told_of(told: pa.Table, m: int) -> pa.Table:
+        return told.filter(pa.array([b % len(methods) == m for b in told.column("bucket").to_pylist()], pa.bool_()))
+
     def known(data: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         parts = [unblob(d.as_py(), "<u8", "u1") for d in data.column("data")]
         if not parts:
@@ -283,39 +342,57 @@ def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema:
         order = np.argsort(keys)
         return keys[order], keys[order][hot[order] > 0]
 
+    def runs_in(texts: list[bytes], told: pa.Table, use: Callable | None = None) -> list[Found]:
+        """What each method finds in a group; ``use`` gets (method, chunk, its runs) while the chunk's units are there."""
+        keys = [known(told_of(told, m)) for m in every]
+        runs: list[list[Runs]] = [[] for _ in every]
+        for a, b in chunks(texts):
+            chunk = chunk_of(methods[0], texts[a:b], a)
+            for m, method in enumerate(methods):
+                if len(keys[m][0]):
+                    runs[m].append(repeating(method, chunk, *keys[m]))
+                    if use:
+                        use(m, chunk, runs[m][-1])
+        return [folded(r) for r in runs]
+
     def send(key: tuple, data: pa.Table, told: pa.Table) -> pa.Table:
         if not data.num_rows:
             return packed({}, 0)
-        doc_ids, texts = in_order(data)
-        runs, first, number, held = folded(method, texts, *known(told))
-        if not len(first):
-            return packed({}, 0)
-        copies = np.bincount(number, minlength=len(first))
+        doc_ids, texts, ties = in_order(data)
+        held: list[dict[tuple[int, int], bytes]] = [{} for _ in every]
+        bodies: list[list[bytes]] = [[] for _ in every]
+
+        def payloads(m: int, chunk: Chunk, r: Runs) -> None:
+            """One payload for each new content."""
+            pairs = list(zip(r.key.tolist(), r.content.tolist(), strict=True))
+            new = {p: i for i, p in reversed(list(enumerate(pairs))) if p not in held[m]}
+            mine = np.array(sorted(new.values()), np.int64)
+            if len(mine):
+                start = chunk.bounds[r.doc[mine] - chunk.first] + r.start[mine]
+                for i, body in zip(mine.tolist(), methods[m].payload(chunk.units, chunk.sums, start, r.windows[mine]), strict=True):
+                    held[m][pairs[i]] = body
+
+        found = runs_in(texts, told, payloads)
         ids = np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64)
-        payloads: list[bytes] = [b""] * len(first)
-        low = 0
-        slot = np.full(len(runs.doc), -1, np.int64)
-        slot[first] = np.arange(len(first))
-        for a, units, sums, bounds, count in held:
-            mine = np.flatnonzero(slot[low : low + count] >= 0) + low
-            start = bounds[runs.doc[mine] - a] + runs.start[mine]
-            for s, p in zip(slot[mine].tolist(), method.payload(units, sums, start, runs.windows[mine]), strict=True):
-                payloads[s] = p
-            low += count
         parts = {}
-        for b, i in by_bucket(runs.key[first], buckets):
-            f = first[i]
-            body = [payloads[x] for x in i.tolist()]
-            parts[b] = blob(i.astype("<i4"), runs.key[f].astype("<u8"), ids[runs.doc[f]].astype("<i8"), runs.doc[f].astype("<i4"), runs.start[f].astype("<i4"), runs.windows[f].astype("<i4"), np.minimum(copies[i], 2).astype("u1"), np.array([len(x) for x in body], "<u4"), np.frombuffer(b"".join(body), np.uint8))
+        for m, f in enumerate(found):
+            if not len(f.first):
+                continue
+            runs, copies = f.runs, np.bincount(f.number, minlength=len(f.first))
+            for b, i in by_bucket(runs.key[f.first], buckets):
+                r = f.first[i]
+                body = [held[m][p] for p in zip(runs.key[r].tolist(), runs.content[r].tolist(), strict=True)]
+                sent = (i, runs.key[r], ids[runs.doc[r]], ties[runs.doc[r]], runs.doc[r], runs.start[r], runs.windows[r], np.minimum(copies[i], 2), [len(x) for x in body], np.frombuffer(b"".join(body), np.uint8))
+                parts[b * len(methods) + m] = blob(*(np.asarray(x).astype(kind) for x, kind in zip(sent, SENT, strict=True)))
         return packed(parts, key[0].as_py())
 
     def answer(key: tuple, data: pa.Table) -> pa.Table:
         gids = data.column("gid").to_pylist()
-        parts = [unblob(d.as_py(), "<i4", "<u8", "<i8", "<i4", "<i4", "<i4", "u1", "<u4", "u1") for d in data.column("data")]
+        parts = [unblob(d.as_py(), *SENT) for d in data.column("data")]
         sizes = [len(p[0]) for p in parts]
-        cols = [np.concatenate([p[i] for p in parts]) for i in range(8)]
-        body = np.concatenate([p[8] for p in parts])
-        run, offset, windows, source, at = method.resolve(cols[1], cols[2], cols[3], cols[4], cols[5], cols[6], cols[7], body)
+        sent = Sent(*(np.concatenate([p[i] for p in parts]) for i in range(len(SENT))))
+        del parts
+        run, offset, windows, source, at = methods[key[0].as_py() % len(methods)].resolve(sent)
         upto = np.concatenate(([0], np.cumsum(sizes)))
         order = np.argsort(run, kind="stable")
         run, offset, windows, source, at = run[order], offset[order], windows[order], source[order], at[order]
@@ -324,25 +401,26 @@ def repeated_runs(docs: DataFrame, method: Method, finish: Callable, out_schema:
         for g, gid in enumerate(gids):
             s = slice(cut[g], cut[g + 1])
             if cut[g + 1] > cut[g]:
-                back[gid] = blob(cols[0][run[s]].astype("<i4"), offset[s].astype("<i4"), windows[s].astype("<i4"), source[s].astype("<i8"), at[s].astype("<i4"))
+                back[gid] = blob(sent.run[run[s]].astype("<i4"), offset[s].astype("<i4"), windows[s].astype("<i4"), source[s].astype("<i8"), at[s].astype("<i4"))
         return pa.table({"bucket": pa.array([key[0].as_py()] * len(back), pa.int32()), "gid": pa.array(list(back), pa.int32()), "data": pa.array(list(back.values()), pa.binary())})
 
     def close(key: tuple, data: pa.Table, told: pa.Table) -> pa.Table:
         if not data.num_rows:
-            return with_carried(finish([], [], None, None, None, None), data, [])
-        doc_ids, texts = in_order(data)
+            return with_carried(finish([], [], []), data, [])
+        doc_ids, texts, _ = in_order(data)
         kinds = told.column("kind").to_pylist()
-        runs, first, number, _ = folded(method, texts, *known(told.filter(pa.array([k == 0 for k in kinds], pa.bool_()))))
-        said = [unblob(d.as_py(), "<i4", "<i4", "<i4", "<i8", "<i4") for d, k in zip(told.column("data"), kinds, strict=True) if k == 1]
-        answers = [np.concatenate([s[i] for s in said]) if said else np.empty(0, np.int64) for i in range(5)]
-        return with_carried(finish(doc_ids, texts, runs, first, number, answers), data, ordered(data))
+        found = runs_in(texts, told.filter(pa.array([k == 0 for k in kinds], pa.bool_())))
+        answered = told.filter(pa.array([k == 1 for k in kinds], pa.bool_()))
+        for m, f in enumerate(found):
+            said = [unblob(d.as_py(), "<i4", "<i4", "<i4", "<i8", "<i4") for d in told_of(answered, m).column("data")]
+            f.answers = [np.concatenate([s[i] for s in said]) if said else np.empty(0, np.int64) for i in range(5)]
+        return with_carried(finish(doc_ids, texts, found), data, ordered(data))
 
     def with_carried(out: pa.Table, data: pa.Table, order: list[int]) -> pa.Table:
-        for c in carry:
-            out = out.append_column(c, data.column(f"carried_{c}").take(pa.array(order, pa.int64())))
-        return out
+        return out.append_column("carried", data.column("carried").take(pa.array(order, pa.int64()))) if carry else out
 
-    out_schema += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    if carry:
+        out_schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
     seen = rows.groupBy("gid").applyInArrow(minimizers, PACKED)
     again = seen.groupBy("bucket").applyInArrow(recurring, PACKED)
     sent = rows.groupBy("gid").cogroup(again.groupBy("gid")).applyInArrow(send, PACKED)

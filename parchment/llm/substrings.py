@@ -8,7 +8,7 @@ unbranched stretches: edges that follow each other in the document and in their
 fingerprint has 64 bits of its words; stretches of neighbouring buckets meet again in the document.
 
 Defined cases: a null text has no words; a null doc_id comes before all others; rows with equal
-doc_id are ordered by text, and a later one repeats an earlier one; texts of under 20 words keep
+doc_id are ordered by a hash of their text, and a later one repeats an earlier one; texts of under 20 words keep
 all; windows that overlap or repeat inside a document count; an empty table gives an empty result;
 extra columns are ignored.
 """
@@ -42,10 +42,11 @@ def edge_payload(units: np.ndarray, sums: np.ndarray, start: np.ndarray, windows
     return [edges[s : s + n].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
 
 
-def first_sources(key, doc_id, local, start, windows, copies, sizes, body):
+def first_sources(sent: R.Sent):
     """For each edge whose first source is another place: unbranched stretches (run, offset, edges, source doc, source start)."""
-    order = np.lexsort((start, local, doc_id))
-    begin = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))[:-1] // 8
+    doc_id, start, windows, body = sent.doc_id, sent.start, sent.windows, sent.body
+    order = np.lexsort((start, sent.local, sent.tie, doc_id))
+    begin = np.concatenate(([0], np.cumsum(sent.sizes, dtype=np.int64)))[:-1] // 8
     n = windows[order].astype(np.int64)
     run = np.repeat(order, n)
     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -63,10 +64,11 @@ def first_sources(key, doc_id, local, start, windows, copies, sizes, body):
     return run[head], offset[head], np.diff(np.append(head, len(run))), src_doc[head], src_at[head]
 
 
-def covered(n_docs: int, runs: R.Runs | None, number, first, answers, window: int, every_copy: bool) -> list[list[tuple[int, int]]]:
+def covered(n_docs: int, found: R.Found, window: int, every_copy: bool) -> list[list[tuple[int, int]]]:
     """Merged (start, end) unit spans of each document that repeated windows cover."""
     spans: list[list[tuple[int, int]]] = [[] for _ in range(n_docs)]
-    if runs is None or not len(runs.doc):
+    runs, first, number, answers = found.runs, found.first, found.number, found.answers
+    if not len(runs.doc):
         return spans
     is_first = np.zeros(len(runs.doc), bool)
     is_first[first] = True
@@ -96,9 +98,9 @@ def dedup_words(docs: DataFrame, groups: int | None = None) -> DataFrame:
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string, spans array<struct<start:bigint,end:bigint>>"
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def finish(doc_ids, texts, runs, first, number, answers) -> pa.Table:
+    def finish(doc_ids, texts, found) -> pa.Table:
         out: list[list] = [[], [], [], [], []]
-        for text, spans in zip(texts, covered(len(texts), runs, number, first, answers, WINDOW, False), strict=True):
+        for text, spans in zip(texts, covered(len(texts), found[0], WINDOW, False) if texts else [], strict=True):
             words = text.split()
             kept, at = [], 0
             for a, b in spans:
@@ -109,7 +111,7 @@ def dedup_words(docs: DataFrame, groups: int | None = None) -> DataFrame:
                 column.append(value)
         return pa.table([pa.array(doc_ids, pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.string()), pa.array(out[4], kind)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "spans"])
 
-    return R.repeated_runs(docs, METHOD, finish, schema, groups)
+    return R.repeated_runs(docs, (METHOD,), finish, schema, groups)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,20 @@
 """Suffix-array dedup: threshold-bounded interval expansion on a Burrows-Wheeler transform.
 
-Runs of 400-byte windows that share a minimizer meet in a bucket. Equal runs fold into one with
-a count. The rest is laid end to end and its suffixes are sorted, as deep as the threshold needs,
-for the transform. Boundaries between suffixes get their common prefix by increasing value: those
-of value v, extended backward by every symbol, are the boundaries of value v + 1 (breadth first),
-and the expansion stops at the minimum length. Suffixes that no boundary parts by then share 400
-bytes; every such string is removed wherever it starts.
-
-Defined cases: a null text is empty; texts of under 400 bytes keep all; matches never cross
+Runs of windows of the minimum length that share a minimizer meet in a bucket. Equal runs fold into
+one with a count. The rest is laid end to end and its suffixes are sorted, as deep as the threshold
+needs, for the transform. Boundaries between suffixes get their common prefix by increasing value:
+those of value v, extended backward by every symbol, are the boundaries of value v + 1 (breadth
+first), and the expansion stops at the minimum length. Suffixes that no boundary parts by then share
+that many bytes; every such string is removed wherever it starts.
+
+The minimum length is 400 bytes in ``dedup_bytes``. A passage of 51 words weighs less (a median of
+367 bytes), so ``dedup_texts``, which the pipeline uses, takes PASSAGE, and ``dedup_bytes`` counts
+the bytes in strings of PASSAGE bytes beside those it removes.
+
+Defined cases: a null text is empty; texts of under the minimum length keep all; matches never cross
 documents; overlapping and periodic matches inside a document count; rows with equal doc_id are
-documents of their own; an empty table gives an empty result; extra columns are ignored.
+documents of their own; an empty table gives an empty result; extra columns are ignored, or handed
+on by ``dedup_texts``, whatever their names are.
 """
 
 from __future__ import annotations
@@ -19,12 +24,17 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import repeats as R
 from .common import bounded_batches, table
 from .substrings import covered
 
-WINDOW, GRAM = 400, 32
+WINDOW = 400
+#: About half of what 51 words weigh: shorter than nearly all passages of over 50 words.
+PASSAGE = 200
+#: Long grams seldom recur unless a window does, which keeps runs that only share a phrase out of the buckets.
+GRAM = 32
 #: Bytes of one transform, unless one minimizer has more.
 TRANSFORM = 1_900_000
 
@@ -33,10 +43,6 @@ def byte_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
 
 
-def byte_payload(units: np.ndarray, sums: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
-    return [units[s : s + n + WINDOW - 1].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
-
-
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols or more, ties by place.
 
@@ -151,9 +157,10 @@ def repeated_starts(strings: list[bytes], counts: list[int], window: int) -> lis
     return [hit[b : b + max(0, n - window + 1)] for b, n in zip(base, sizes, strict=True)]
 
 
-def shared_windows(key, doc_id, local, start, windows, copies, sizes, body):
+def shared_windows(sent: R.Sent, window: int):
     """Windows of runs that occur elsewhere, as (run, offset, windows, 0, 0)."""
-    data, cut = body.tobytes(), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).tolist()
+    key, copies = sent.key, sent.copies
+    data, cut = sent.body.tobytes(), np.concatenate(([0], np.cumsum(sent.sizes, dtype=np.int64))).tolist()
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     strings: list[bytes] = []
     counts: list[int] = []
@@ -170,7 +177,7 @@ def shared_windows(key, doc_id, local, start, windows, copies, sizes, body):
 
     def expand() -> None:
         if strings:
-            for mask, runs in zip(repeated_starts(strings, counts, WINDOW), members, strict=True):
+            for mask, runs in zip(repeated_starts(strings, counts, window), members, strict=True):
                 spans(mask, runs)
         strings.clear(), counts.clear(), members.clear()
 
@@ -185,7 +192,7 @@ def shared_windows(key, doc_id, local, start, windows, copies, sizes, body):
         if len(found) == 1:
             (s, runs), = found.items()
             if total[s] > 1:
-                spans(np.ones(len(s) - WINDOW + 1, bool), runs)
+                spans(np.ones(len(s) - window + 1, bool), runs)
                 continue
         for s, runs in found.items():
             if size + len(s) > TRANSFORM and size > 0 and s is next(iter(found)):
@@ -203,31 +210,66 @@ def shared_windows(key, doc_id, local, start, windows, copies, sizes, body):
     return run, offset, count, np.zeros(len(run), np.int64), np.zeros(len(run), np.int64)
 
 
-METHOD = R.Method(byte_units, WINDOW, GRAM, byte_payload, shared_windows)
+def byte_method(window: int) -> R.Method:
+    def payload(units: np.ndarray, sums: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
+        return [units[s : s + n + window - 1].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
+
+    return R.Method(byte_units, window, min(GRAM, window), payload, lambda sent: shared_windows(sent, window))
+
 
+def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    kept, at = [], 0
+    for a, b in spans:
+        kept.append(text[at:a])
+        at = b
+    return b"".join([*kept, text[at:]])
 
-def dedup_bytes(docs: DataFrame, groups: int | None = None, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left), and carried columns.
 
-    With ``as_text``, kept is a string; a character that lost some of its bytes goes.
+def dedup_bytes(docs: DataFrame, groups: int | None = None, window: int = WINDOW, passage: int | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
+
+    With ``passage``, also n_in_passages: bytes covered by strings of so many bytes that start elsewhere too; they are not removed.
+    """
+    bounded_batches(docs.sparkSession)
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary" + ", n_in_passages bigint" * bool(passage)
+
+    def finish(doc_ids, texts, found) -> pa.Table:
+        removed = covered(len(texts), found[0], window, True) if texts else []
+        kept = [without(t, spans) for t, spans in zip(texts, removed, strict=True)]
+        columns = {
+            "doc_id": pa.array(doc_ids, pa.int64()),
+            "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+            "n_removed": pa.array([len(t) - len(k) for t, k in zip(texts, kept, strict=True)], pa.int64()),
+            "n_spans": pa.array([len(x) for x in removed], pa.int64()),
+            "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+            "kept": pa.array(kept, pa.binary()),
+        }
+        if passage:
+            short = covered(len(texts), found[1], passage, True) if texts else []
+            columns["n_in_passages"] = pa.array([sum(b - a for a, b in x) for x in short], pa.int64())
+        return pa.table(columns)
+
+    methods = (byte_method(window), *([byte_method(passage)] if passage else []))
+    return R.repeated_runs(docs, methods, finish, schema, groups)
+
+
+def dedup_texts(docs: DataFrame, window: int = PASSAGE, groups: int | None = None) -> DataFrame:
+    """The table with text cut, and n_chars, if it is there, counted again; a character that lost some of its bytes goes.
+
+    A null text becomes empty. All other columns stay as they are.
     """
     bounded_batches(docs.sparkSession)
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept " + ("string" if as_text else "binary")
 
-    def finish(doc_ids, texts, runs, first, number, answers) -> pa.Table:
-        out: list[list] = [[], [], [], [], []]
-        for text, spans in zip(texts, covered(len(texts), runs, number, first, answers, WINDOW, True), strict=True):
-            kept, at = [], 0
-            for a, b in spans:
-                kept.append(text[at:a])
-                at = b
-            left = b"".join([*kept, text[at:]])
-            for column, value in zip(out, (len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if as_text else left), strict=True):
-                column.append(value)
-        return pa.table([pa.array(doc_ids, pa.int64()), *(pa.array(out[i], pa.int64()) for i in range(3)), pa.array(out[3], pa.string()), pa.array(out[4], pa.string() if as_text else pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+    def finish(doc_ids, texts, found) -> pa.Table:
+        removed = covered(len(texts), found[0], window, True) if texts else []
+        kept = [without(t, spans).decode("utf-8", "ignore") for t, spans in zip(texts, removed, strict=True)]
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "text": pa.array(kept, pa.string())})
 
-    return R.repeated_runs(docs, METHOD, finish, schema, groups, carry)
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    left = R.repeated_runs(docs, (byte_method(window),), finish, "doc_id bigint, text string", groups, carry=any(c not in new for c in docs.columns))
+    return left.select(*[new.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns])
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_bytes(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = dedup_bytes(table(spark, sf_dir, "documents"), passage=PASSAGE)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_in_passages")
