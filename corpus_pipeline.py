@@ -7,14 +7,13 @@ the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parchment.llm.bpe import encode_documents
 from parchment.llm.common import stage_table, table
 from parchment.llm.mixing import mixed_documents
 from parchment.llm.neardup import first_of_classes
 from parchment.llm.quality import kept_documents
-from parchment.llm.suffixes import dedup_bytes
+from parchment.llm.suffixes import dedup_texts
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,11 +27,11 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that start at two places go, everywhere; their documents stay."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    left = dedup_bytes(docs, carry=others, as_text=True)
-    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
-    return left.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    """Strings of suffixes.PASSAGE bytes that start at two places go, everywhere; their documents stay.
+
+    A null text becomes empty, and a text that is cut to nothing stays as an empty document.
+    """
+    return dedup_texts(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
