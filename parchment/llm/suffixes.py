@@ -34,7 +34,7 @@ WINDOW = 400
 #: About half of what 51 words weigh: shorter than nearly all passages of over 50 words.
 PASSAGE = 200
 #: Long grams seldom recur unless a window does, which keeps runs that only share a phrase out of the buckets.
-GRAM = 32
+GRAM = 100
 #: Bytes of one transform, unless one minimizer has more.
 TRANSFORM = 1_900_000
 
@@ -214,7 +214,7 @@ def byte_method(window: int) -> R.Method:
     def payload(units: np.ndarray, sums: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
         return [units[s : s + n + window - 1].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
 
-    return R.Method(byte_units, window, min(GRAM, window), payload, lambda sent: shared_windows(sent, window))
+    return R.Method(byte_units, window, min(GRAM, max(1, window // 2)), payload, lambda sent: shared_windows(sent, window))
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
