@@ -111,7 +111,7 @@ class Method:
     units: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
     window: int
     gram: int
-    #: (units, prefix sums, starts, windows) of runs, to the bytes each sends.
+    #: (units, starts, windows) of runs, to the bytes each sends.
     payload: Callable
     #: Columns of a bucket's runs, Sent, to (run, offset, windows, source doc, source start) arrays.
     resolve: Callable
@@ -342,51 +342,46 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
         order = np.argsort(keys)
         return keys[order], keys[order][hot[order] > 0]
 
-    def runs_in(texts: list[bytes], told: pa.Table, use: Callable | None = None) -> list[Found]:
-        """What each method finds in a group; ``use`` gets (method, chunk, its runs) while the chunk's units are there."""
-        keys = [known(told_of(told, m)) for m in every]
-        runs: list[list[Runs]] = [[] for _ in every]
-        for a, b in chunks(texts):
-            chunk = chunk_of(methods[0], texts[a:b], a)
-            for m, method in enumerate(methods):
-                if len(keys[m][0]):
-                    runs[m].append(repeating(method, chunk, *keys[m]))
-                    if use:
-                        use(m, chunk, runs[m][-1])
-        return [folded(r) for r in runs]
-
     def send(key: tuple, data: pa.Table, told: pa.Table) -> pa.Table:
+        """Payloads of the group's distinct runs to their buckets, and its runs to itself, so that the last step need not look for them again."""
         if not data.num_rows:
             return packed({}, 0)
         doc_ids, texts, ties = in_order(data)
-        held: list[dict[tuple[int, int], bytes]] = [{} for _ in every]
-        bodies: list[list[bytes]] = [[] for _ in every]
-
-        def payloads(m: int, chunk: Chunk, r: Runs) -> None:
-            """One payload for each new content."""
-            pairs = list(zip(r.key.tolist(), r.content.tolist(), strict=True))
-            new = {p: i for i, p in reversed(list(enumerate(pairs))) if p not in held[m]}
-            mine = np.array(sorted(new.values()), np.int64)
-            if len(mine):
-                start = chunk.bounds[r.doc[mine] - chunk.first] + r.start[mine]
-                for i, body in zip(mine.tolist(), methods[m].payload(chunk.units, chunk.sums, start, r.windows[mine]), strict=True):
-                    held[m][pairs[i]] = body
-
-        found = runs_in(texts, told, payloads)
-        ids = np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64)
+        ids, gid = np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64), key[0].as_py()
+        keys = [known(told_of(told, m)) for m in every]
+        found: list[list[Runs]] = [[] for _ in every]
+        held: list[Chunk] = []
+        for a, b in chunks(texts):
+            chunk = chunk_of(methods[0], texts[a:b], a)
+            for m, method in enumerate(methods):
+                found[m].append(repeating(method, chunk, *keys[m]))
+            chunk.sums, chunk.doc, chunk.grams = np.empty(0, np.uint64), np.empty(0, np.int64), {}
+            held.append(chunk)
         parts = {}
-        for m, f in enumerate(found):
+        for m, method in enumerate(methods):
+            f = folded(found[m])
             if not len(f.first):
                 continue
-            runs, copies = f.runs, np.bincount(f.number, minlength=len(f.first))
-            for b, i in by_bucket(runs.key[f.first], buckets):
-                r = f.first[i]
-                body = [held[m][p] for p in zip(runs.key[r].tolist(), runs.content[r].tolist(), strict=True)]
-                sent = (i, runs.key[r], ids[runs.doc[r]], ties[runs.doc[r]], runs.doc[r], runs.start[r], runs.windows[r], np.minimum(copies[i], 2), [len(x) for x in body], np.frombuffer(b"".join(body), np.uint8))
+            runs, r = f.runs, f.first
+            body: list[bytes] = [b""] * len(r)
+            of = np.searchsorted([c.first for c in held], runs.doc[r], side="right") - 1
+            for n, chunk in enumerate(held):
+                mine = np.flatnonzero(of == n)
+                if len(mine):
+                    start = chunk.bounds[runs.doc[r[mine]] - chunk.first] + runs.start[r[mine]]
+                    for i, x in zip(mine.tolist(), method.payload(chunk.units, start, runs.windows[r[mine]]), strict=True):
+                        body[i] = x
+            copies = np.bincount(f.number, minlength=len(r))
+            for b, i in by_bucket(runs.key[r], buckets):
+                own = [body[x] for x in i.tolist()]
+                sent = (i, runs.key[r[i]], ids[runs.doc[r[i]]], ties[runs.doc[r[i]]], runs.doc[r[i]], runs.start[r[i]], runs.windows[r[i]], np.minimum(copies[i], 2), [len(x) for x in own], np.frombuffer(b"".join(own), np.uint8))
                 parts[b * len(methods) + m] = blob(*(np.asarray(x).astype(kind) for x, kind in zip(sent, SENT, strict=True)))
-        return packed(parts, key[0].as_py())
+            parts[-1 - (gid * len(methods) + m)] = blob(*(x.astype("<i4") for x in (runs.doc, runs.start, runs.windows, f.first, f.number)))
+        return packed(parts, gid)
 
     def answer(key: tuple, data: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            return data.select(["bucket", "gid", "data"])
         gids = data.column("gid").to_pylist()
         parts = [unblob(d.as_py(), *SENT) for d in data.column("data")]
         sizes = [len(p[0]) for p in parts]
@@ -408,12 +403,18 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
         if not data.num_rows:
             return with_carried(finish([], [], []), data, [])
         doc_ids, texts, _ = in_order(data)
-        kinds = told.column("kind").to_pylist()
-        found = runs_in(texts, told.filter(pa.array([k == 0 for k in kinds], pa.bool_())))
-        answered = told.filter(pa.array([k == 1 for k in kinds], pa.bool_()))
-        for m, f in enumerate(found):
-            said = [unblob(d.as_py(), "<i4", "<i4", "<i4", "<i8", "<i4") for d in told_of(answered, m).column("data")]
-            f.answers = [np.concatenate([s[i] for s in said]) if said else np.empty(0, np.int64) for i in range(5)]
+        found = [Found(Runs(*[np.empty(0, np.int64)] * 5), np.empty(0, np.int64), np.empty(0, np.int64), [np.empty(0, np.int64)] * 5) for _ in every]
+        said: list[list] = [[] for _ in every]
+        for bucket, d in zip(told.column("bucket").to_pylist(), told.column("data"), strict=True):
+            if bucket < 0:
+                doc, start, windows, first, number = unblob(d.as_py(), *["<i4"] * 5)
+                f = found[(-1 - bucket) % len(methods)]
+                f.runs, f.first, f.number = Runs(doc.astype(np.int64), start.astype(np.int64), windows.astype(np.int64), doc, doc), first.astype(np.int64), number.astype(np.int64)
+            else:
+                said[bucket % len(methods)].append(unblob(d.as_py(), "<i4", "<i4", "<i4", "<i8", "<i4"))
+        for f, answers in zip(found, said, strict=True):
+            if answers:
+                f.answers = [np.concatenate([x[i] for x in answers]) for i in range(5)]
         return with_carried(finish(doc_ids, texts, found), data, ordered(data))
 
     def with_carried(out: pa.Table, data: pa.Table, order: list[int]) -> pa.Table:
@@ -425,5 +426,4 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
     again = seen.groupBy("bucket").applyInArrow(recurring, PACKED)
     sent = rows.groupBy("gid").cogroup(again.groupBy("gid")).applyInArrow(send, PACKED)
     answers = sent.groupBy("bucket").applyInArrow(answer, PACKED)
-    told = again.withColumn("kind", F.lit(0)).unionByName(answers.withColumn("kind", F.lit(1)))
-    return rows.groupBy("gid").cogroup(told.groupBy("gid")).applyInArrow(close, out_schema)
+    return rows.groupBy("gid").cogroup(answers.groupBy("gid")).applyInArrow(close, out_schema)

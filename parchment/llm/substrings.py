@@ -37,8 +37,8 @@ def word_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return R.span_hashes(R.prefix(data), start, end), np.searchsorted(start, first)
 
 
-def edge_payload(units: np.ndarray, sums: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
-    edges = R.gram_hashes(sums, WINDOW)
+def edge_payload(units: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
+    edges = R.gram_hashes(R.prefix(units), WINDOW)
     return [edges[s : s + n].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
 
 

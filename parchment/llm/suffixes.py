@@ -36,19 +36,24 @@ PASSAGE = 200
 #: Long grams seldom recur unless a window does, which keeps runs that only share a phrase out of the buckets.
 GRAM = 100
 #: Bytes of one transform, unless one minimizer has more.
-TRANSFORM = 1_900_000
+TRANSFORM = 400_000
 
 
 def byte_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
 
 
-def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols or more, ties by place.
+#: Common prefixes shorter than the first doubling from here on are read off the sort, where they come for nothing.
+SEED = 80
+
+
+def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, tuple[int, np.ndarray] | None]:
+    """Suffixes in the order of their first ``depth`` symbols or more, ties by place; and, from the first doubling of SEED
+    or more but less than ``depth``, its length and each place's rank by so many symbols.
 
     Prefix doubling where a sort key and the place share a 64-bit number, so that plain sorts do.
     """
-    n = len(symbols)
+    n, seed = len(symbols), None
     low = np.uint64(max(1, int(n).bit_length()))
     if 3 * int(low) > 64:  # one minimizer has more than two million bytes: sort by pairs
         rank, known = np.unique(symbols, return_inverse=True)[1], 1
@@ -56,7 +61,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
             pair = rank * (n + 1)
             pair[: n - known] += rank[known:] + 1
             rank, known = np.unique(pair, return_inverse=True)[1], 2 * known
-        return np.argsort(rank, kind="stable")
+        return np.argsort(rank, kind="stable"), None
     place, mask = np.arange(n, dtype=np.uint64), np.uint64((1 << int(low)) - 1)
     wide = max(1, int(symbols.max()).bit_length())
     known = max(1, (64 - int(low)) // wide)
@@ -75,9 +80,11 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         np.not_equal(code[1:], code[:-1], out=new[1:], casting="unsafe")
         np.cumsum(new, out=new)
         if known >= depth or new[-1] == n - 1:
-            return order
+            return order, seed
         rank = np.empty(n, np.uint64)
         rank[order] = new
+        if seed is None and known >= SEED:
+            seed = known, rank
         code = rank << low
         code[: n - known] |= rank[known:] + np.uint64(1)
         known *= 2
@@ -87,9 +94,11 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
 STEPS = 6
 
 
-def parted(symbols: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+def parted(symbols: np.ndarray, order: np.ndarray, limit: int, seed: tuple[int, np.ndarray] | None = None) -> np.ndarray:
     """Whether each suffix in order shares less than ``limit`` symbols with the one before it.
 
+    The boundaries of values below the seed's length are given by its ranks; expansion goes on from there.
+
     A boundary b of value v makes, for a symbol c, one of value v + 1: the first suffix that
     extends one at or after b by c, if it has none yet. Many boundaries are counted into a table of
     all suffixes, few are extended by the suffixes up to the next boundary, or by all symbols.
@@ -108,9 +117,14 @@ def parted(symbols: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
     done[bounds] = True
     done[n] = True
     done[: np.searchsorted(sorted_, 1)] = True
+    begin = 1
+    if seed is not None and seed[0] < limit:
+        begin, ranks = seed[0], seed[1][order]
+        done[1:n] |= ranks[1:] != ranks[:-1]
+        bounds = np.flatnonzero(done[:n])
     left = np.flatnonzero(~done)
     to, since = came[left], came[left - 1]
-    for _ in range(limit - 1):
+    for _ in range(limit - begin):
         if not len(bounds) or not len(left):
             break
         found, rest = [], None
@@ -147,8 +161,8 @@ def repeated_starts(strings: list[bytes], counts: list[int], window: int) -> lis
     base = np.cumsum(sizes + 1) - sizes - 1
     for s, b in zip(strings, base, strict=True):
         symbols[b : b + len(s)] = np.frombuffer(s, np.uint8).astype(np.uint16) + 1
-    order = suffix_order(symbols, window + 2)
-    group = np.cumsum(parted(symbols, order, window)) - 1
+    order, seed = suffix_order(symbols, window + 2)
+    group = np.cumsum(parted(symbols, order, window, seed)) - 1
     of = np.searchsorted(base, order, side="right") - 1
     valid = order + window <= base[of] + sizes[of]
     weight = np.bincount(group[valid], weights=np.array(counts)[of[valid]], minlength=int(group[-1]) + 1)
@@ -211,7 +225,7 @@ def shared_windows(sent: R.Sent, window: int):
 
 
 def byte_method(window: int) -> R.Method:
-    def payload(units: np.ndarray, sums: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
+    def payload(units: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
         return [units[s : s + n + window - 1].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
 
     return R.Method(byte_units, window, min(GRAM, max(1, window // 2)), payload, lambda sent: shared_windows(sent, window))
