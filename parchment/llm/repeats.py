@@ -214,6 +214,15 @@ def unblob(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def squeezed(data: bytes) -> bytes:
+    """Compressed, for what travels as text: a run shares most of its bytes with the next one."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def grouped_documents(docs: DataFrame, groups: int, carry: bool = False) -> DataFrame:
     """doc_id, text, the order of rows with equal doc_id, the whole row if it is carried, and the group of the row.
 
@@ -375,15 +384,15 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
             for b, i in by_bucket(runs.key[r], buckets):
                 own = [body[x] for x in i.tolist()]
                 sent = (i, runs.key[r[i]], ids[runs.doc[r[i]]], ties[runs.doc[r[i]]], runs.doc[r[i]], runs.start[r[i]], runs.windows[r[i]], np.minimum(copies[i], 2), [len(x) for x in own], np.frombuffer(b"".join(own), np.uint8))
-                parts[b * len(methods) + m] = blob(*(np.asarray(x).astype(kind) for x, kind in zip(sent, SENT, strict=True)))
-            parts[-1 - (gid * len(methods) + m)] = blob(*(x.astype("<i4") for x in (runs.doc, runs.start, runs.windows, f.first, f.number)))
+                parts[b * len(methods) + m] = squeezed(blob(*(np.asarray(x).astype(kind) for x, kind in zip(sent, SENT, strict=True))))
+            parts[-1 - (gid * len(methods) + m)] = squeezed(blob(*(x.astype("<i4") for x in (runs.doc, runs.start, runs.windows, f.first, f.number))))
         return packed(parts, gid)
 
     def answer(key: tuple, data: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return data.select(["bucket", "gid", "data"])
         gids = data.column("gid").to_pylist()
-        parts = [unblob(d.as_py(), *SENT) for d in data.column("data")]
+        parts = [unblob(unsqueezed(d.as_py()), *SENT) for d in data.column("data")]
         sizes = [len(p[0]) for p in parts]
         sent = Sent(*(np.concatenate([p[i] for p in parts]) for i in range(len(SENT))))
         del parts
@@ -407,7 +416,7 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
         said: list[list] = [[] for _ in every]
         for bucket, d in zip(told.column("bucket").to_pylist(), told.column("data"), strict=True):
             if bucket < 0:
-                doc, start, windows, first, number = unblob(d.as_py(), *["<i4"] * 5)
+                doc, start, windows, first, number = unblob(unsqueezed(d.as_py()), *["<i4"] * 5)
                 f = found[(-1 - bucket) % len(methods)]
                 f.runs, f.first, f.number = Runs(doc.astype(np.int64), start.astype(np.int64), windows.astype(np.int64), doc, doc), first.astype(np.int64), number.astype(np.int64)
             else:
