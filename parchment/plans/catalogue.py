@@ -17,6 +17,7 @@ from ..session import table
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
+_PLAIN: dict[str, Query] = {}
 
 
 def query(oracle: str) -> Callable[[Query], Query]:
@@ -28,13 +29,19 @@ def query(oracle: str) -> Callable[[Query], Query]:
     return add
 
 
+def plain(f: Query) -> Query:
+    """A query without SQL; the tests hold it against brute force."""
+    _PLAIN[f.__name__] = f
+    return f
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
 def plain_queries() -> dict[str, Query]:
     """Queries that have no SQL; the tests hold them against brute force."""
-    return {f.__name__: f for f in (near_dup_next4_ratio,)}
+    return dict(_PLAIN)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -138,6 +145,7 @@ def near_dup_next4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.near_copies(table(spark, sf_dir, "documents"), "source", "doc_id", "text")
 
 
+@plain
 def near_dup_next4_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL has no SequenceMatcher. Documents have no principal."""
     return near_copies_by_ratio(table(spark, sf_dir, "documents"), "source", "doc_id", "text")
@@ -310,3 +318,6 @@ def keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").join(labelled, "doc_id", "left")
     keywords = F.array_compact(F.array("lang", F.when(F.col("n_chars") >= 600, "long"), "_l"))
     return docs.select("doc_id", R.matching_rules(keywords, _RULES).alias("rules"))
+
+
+from . import pages, records, requests  # noqa: E402, F401  they add their queries to the tables above

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,3 +29,21 @@ def build_session(master: str = "local[*]", app: str = "parchment", **conf: str)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; the path may be any store Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. One of this machine's only in local mode."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("parchment.stage.dir", "")
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="parchment-stage-")
+        spark.conf.set("parchment.stage.dir", found)
+    return found.rstrip("/")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """A table written to the shared folder and read back: lost executors lose nothing, and the lineage ends."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
