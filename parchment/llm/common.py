@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 #: White space between words, as a character class of both Java and RE2.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -22,12 +23,8 @@ def words(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("parchment.stage.dir", "")
-    if not found:
-        found = tempfile.mkdtemp(prefix="parchment-stage-")
-        spark.conf.set("parchment.stage.dir", found)
-    return found
+    """The folder that driver and executors share, spark.checkpoint.dir; a temporary one only in local mode (tests)."""
+    return shared_folder(spark)
 
 
 def stage_table(df: DataFrame) -> DataFrame:
