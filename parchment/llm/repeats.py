@@ -111,10 +111,12 @@ class Method:
     units: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
     window: int
     gram: int
-    #: (units, starts, windows) of runs, to the bytes each sends.
+    #: (chunk, documents in it, starts in it, windows) of runs, to the bytes each sends.
     payload: Callable
     #: Columns of a bucket's runs, Sent, to (run, offset, windows, source doc, source start) arrays.
-    resolve: Callable
+    resolve: Callable | None = None
+    #: Whether runs fold only where the units before and after them are equal too.
+    neighbours: bool = False
 
 
 @dataclass
@@ -279,7 +281,12 @@ def repeating(method: Method, chunk: Chunk, repeated: np.ndarray, hot: np.ndarra
     first = np.flatnonzero(gap)
     count = np.diff(np.append(first, len(place)))
     start = place[first]
-    content = span_hashes(chunk.sums, start, start + count + method.window - 1)
+    end = start + count + method.window - 1
+    if method.neighbours and len(first):
+        before, after = start > chunk.bounds[doc[first]], end < chunk.bounds[doc[first] + 1]
+        content = mixed(span_hashes(chunk.sums, start - before, end + after) + before + np.uint64(2) * after)
+    else:
+        content = span_hashes(chunk.sums, start, end)
     return Runs(doc[first] + chunk.first, start - chunk.bounds[doc[first]] if len(first) else start, count, least[first], content)
 
 
@@ -296,14 +303,11 @@ def folded(runs: list[Runs]) -> Found:
     return Found(every, order[new], number, [])  # lexsort is stable: the first in document order
 
 
-def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable, out_schema: str, groups: int | None = None, carry: bool = False) -> DataFrame:
-    """``finish(doc_ids, texts, found)`` makes a group's columns from what each method found, in the order of methods.
+def sent_runs(rows: DataFrame, methods: tuple[Method, ...], buckets: int) -> DataFrame:
+    """From documents in groups, by ``grouped_documents``: what their repeated runs send to buckets, packed.
 
-    Methods share the units of texts and the exchanges. With ``carry``, the other columns of a row follow in a struct ``carried``.
+    Rows of buckets below 0 hold all runs of a group, for the group itself.
     """
-    groups = groups or group_count(docs)
-    buckets = groups
-    rows = grouped_documents(docs, groups, carry)
     every = range(len(methods))
 
     def minimizers(key: tuple, data: pa.Table) -> pa.Table:
@@ -377,8 +381,9 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
             for n, chunk in enumerate(held):
                 mine = np.flatnonzero(of == n)
                 if len(mine):
-                    start = chunk.bounds[runs.doc[r[mine]] - chunk.first] + runs.start[r[mine]]
-                    for i, x in zip(mine.tolist(), method.payload(chunk.units, start, runs.windows[r[mine]]), strict=True):
+                    doc = runs.doc[r[mine]] - chunk.first
+                    start = chunk.bounds[doc] + runs.start[r[mine]]
+                    for i, x in zip(mine.tolist(), method.payload(chunk, doc, start, runs.windows[r[mine]]), strict=True):
                         body[i] = x
             copies = np.bincount(f.number, minlength=len(r))
             for b, i in by_bucket(runs.key[r], buckets):
@@ -388,16 +393,50 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
             parts[-1 - (gid * len(methods) + m)] = squeezed(blob(*(x.astype("<i4") for x in (runs.doc, runs.start, runs.windows, f.first, f.number))))
         return packed(parts, gid)
 
+    seen = rows.groupBy("gid").applyInArrow(minimizers, PACKED)
+    again = seen.groupBy("bucket").applyInArrow(recurring, PACKED)
+    return rows.groupBy("gid").cogroup(again.groupBy("gid")).applyInArrow(send, PACKED)
+
+
+def merged(n_docs: int, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Each document's spans in order, joined where they touch or overlap."""
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(n_docs)]
+    order = np.lexsort((end, start, doc))
+    for d, x, y in zip(doc[order].tolist(), start[order].tolist(), end[order].tolist(), strict=True):
+        if spans[d] and x <= spans[d][-1][1]:
+            spans[d][-1] = (spans[d][-1][0], max(spans[d][-1][1], y))
+        else:
+            spans[d].append((x, y))
+    return spans
+
+
+def received(data: pa.Table) -> tuple[Sent, list[int], np.ndarray]:
+    """All runs of a bucket, the groups that sent them, and where each group's begin and end."""
+    parts = [unblob(unsqueezed(d.as_py()), *SENT) for d in data.column("data")]
+    sent = Sent(*(np.concatenate([p[i] for p in parts]) for i in range(len(SENT))))
+    return sent, data.column("gid").to_pylist(), np.concatenate(([0], np.cumsum([len(p[0]) for p in parts])))
+
+
+def own_runs(data: bytes) -> Found:
+    """A group's runs, from what it sent to itself."""
+    doc, start, windows, first, number = (x.astype(np.int64) for x in unblob(unsqueezed(data), *["<i4"] * 5))
+    return Found(Runs(doc, start, windows, doc, doc), first, number, [np.empty(0, np.int64)] * 5)
+
+
+def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable, out_schema: str, groups: int | None = None, carry: bool = False) -> DataFrame:
+    """``finish(doc_ids, texts, found)`` makes a group's columns from what each method found, in the order of methods.
+
+    Methods share the units of texts and the exchanges. With ``carry``, the other columns of a row follow in a struct ``carried``.
+    """
+    groups = groups or group_count(docs)
+    rows = grouped_documents(docs, groups, carry)
+    every = range(len(methods))
+
     def answer(key: tuple, data: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return data.select(["bucket", "gid", "data"])
-        gids = data.column("gid").to_pylist()
-        parts = [unblob(unsqueezed(d.as_py()), *SENT) for d in data.column("data")]
-        sizes = [len(p[0]) for p in parts]
-        sent = Sent(*(np.concatenate([p[i] for p in parts]) for i in range(len(SENT))))
-        del parts
+        sent, gids, upto = received(data)
         run, offset, windows, source, at = methods[key[0].as_py() % len(methods)].resolve(sent)
-        upto = np.concatenate(([0], np.cumsum(sizes)))
         order = np.argsort(run, kind="stable")
         run, offset, windows, source, at = run[order], offset[order], windows[order], source[order], at[order]
         cut = np.searchsorted(run, upto)
@@ -416,9 +455,7 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
         said: list[list] = [[] for _ in every]
         for bucket, d in zip(told.column("bucket").to_pylist(), told.column("data"), strict=True):
             if bucket < 0:
-                doc, start, windows, first, number = unblob(unsqueezed(d.as_py()), *["<i4"] * 5)
-                f = found[(-1 - bucket) % len(methods)]
-                f.runs, f.first, f.number = Runs(doc.astype(np.int64), start.astype(np.int64), windows.astype(np.int64), doc, doc), first.astype(np.int64), number.astype(np.int64)
+                found[(-1 - bucket) % len(methods)] = own_runs(d.as_py())
             else:
                 said[bucket % len(methods)].append(unblob(d.as_py(), "<i4", "<i4", "<i4", "<i8", "<i4"))
         for f, answers in zip(found, said, strict=True):
@@ -431,8 +468,5 @@ def repeated_runs(docs: DataFrame, methods: tuple[Method, ...], finish: Callable
 
     if carry:
         out_schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
-    seen = rows.groupBy("gid").applyInArrow(minimizers, PACKED)
-    again = seen.groupBy("bucket").applyInArrow(recurring, PACKED)
-    sent = rows.groupBy("gid").cogroup(again.groupBy("gid")).applyInArrow(send, PACKED)
-    answers = sent.groupBy("bucket").applyInArrow(answer, PACKED)
+    answers = sent_runs(rows, methods, groups).groupBy("bucket").applyInArrow(answer, PACKED)
     return rows.groupBy("gid").cogroup(answers.groupBy("gid")).applyInArrow(close, out_schema)

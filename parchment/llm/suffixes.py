@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from . import repeats as R
 from .common import bounded_batches, table
-from .substrings import covered
 
 WINDOW = 400
 #: About half of what 51 words weigh: shorter than nearly all passages of over 50 words.
@@ -225,12 +224,30 @@ def shared_windows(sent: R.Sent, window: int):
 
 
 def byte_method(window: int) -> R.Method:
-    def payload(units: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
-        return [units[s : s + n + window - 1].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
+    def payload(chunk: R.Chunk, doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> list[bytes]:
+        return [chunk.units[s : s + n + window - 1].tobytes() for s, n in zip(start.tolist(), windows.tolist(), strict=True)]
 
     return R.Method(byte_units, window, min(GRAM, max(1, window // 2)), payload, lambda sent: shared_windows(sent, window))
 
 
+def covered(n_docs: int, found: R.Found, window: int) -> list[list[tuple[int, int]]]:
+    """Merged (start, end) byte spans of each document that repeated windows cover."""
+    runs, first, number, answers = found.runs, found.first, found.number, found.answers
+    if not len(runs.doc):
+        return [[] for _ in range(n_docs)]
+    is_first = np.zeros(len(runs.doc), bool)
+    is_first[first] = True
+    whole = np.bincount(number, minlength=len(first))[number] > 1
+    docs, a, b = [runs.doc[whole]], [runs.start[whole]], [runs.start[whole] + runs.windows[whole]]
+    content, offset, count = answers[0].astype(np.int64), answers[1].astype(np.int64), answers[2].astype(np.int64)
+    part = np.flatnonzero(is_first[first[content]] & ~whole[first[content]]) if len(content) else np.empty(0, np.int64)
+    of = first[content[part]] if len(part) else part
+    docs.append(runs.doc[of])
+    a.append(runs.start[of] + offset[part])
+    b.append(runs.start[of] + offset[part] + count[part])
+    return R.merged(n_docs, np.concatenate(docs), np.concatenate(a), np.concatenate(b) + window - 1)
+
+
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     kept, at = [], 0
     for a, b in spans:
@@ -248,7 +265,7 @@ def dedup_bytes(docs: DataFrame, groups: int | None = None, window: int = WINDOW
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary" + ", n_in_passages bigint" * bool(passage)
 
     def finish(doc_ids, texts, found) -> pa.Table:
-        removed = covered(len(texts), found[0], window, True) if texts else []
+        removed = covered(len(texts), found[0], window) if texts else []
         kept = [without(t, spans) for t, spans in zip(texts, removed, strict=True)]
         columns = {
             "doc_id": pa.array(doc_ids, pa.int64()),
@@ -259,7 +276,7 @@ def dedup_bytes(docs: DataFrame, groups: int | None = None, window: int = WINDOW
             "kept": pa.array(kept, pa.binary()),
         }
         if passage:
-            short = covered(len(texts), found[1], passage, True) if texts else []
+            short = covered(len(texts), found[1], passage) if texts else []
             columns["n_in_passages"] = pa.array([sum(b - a for a, b in x) for x in short], pa.int64())
         return pa.table(columns)
 
@@ -275,7 +292,7 @@ def dedup_texts(docs: DataFrame, window: int = PASSAGE, groups: int | None = Non
     bounded_batches(docs.sparkSession)
 
     def finish(doc_ids, texts, found) -> pa.Table:
-        removed = covered(len(texts), found[0], window, True) if texts else []
+        removed = covered(len(texts), found[0], window) if texts else []
         kept = [without(t, spans).decode("utf-8", "ignore") for t, spans in zip(texts, removed, strict=True)]
         return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "text": pa.array(kept, pa.string())})
 
