@@ -1,4 +1,4 @@
-"""Generic relational operators: routing, quality checks, alignment counts, graph and staging."""
+"""Generic relational operators: quality checks, alignment counts, graph and staging."""
 
 from __future__ import annotations
 
@@ -7,23 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.text import page_type, phonetic_key, squeezed
-
-
-def routed(pages: DataFrame, text: str) -> DataFrame:
-    """Add page_type and route."""
-    typed = pages.withColumn("page_type", page_type(F.col(text)))
-    return typed.withColumn("route", F.when(F.col("page_type") == "error", "retranscribe").when(F.col("page_type") == "index", "skip-index").when(F.col("page_type") == "blank", "luna-sacramental-fallback").otherwise("deterministic-sacramental"))
-
-
-def worst_disposition(pages: DataFrame, record: str, route: str) -> DataFrame:
-    """The worst page of a record decides what becomes of it."""
-    has = lambda r: F.coalesce(F.bool_or(F.col(route) == r), F.lit(False))
-    return pages.groupBy(record).agg(
-        F.when(F.bool_and(F.coalesce(F.col(route) == "deterministic-sacramental", F.lit(False))), "production")
-        .when(has("retranscribe"), "blocked").when(has("luna-sacramental-fallback"), "needs-fallback").when(has("skip-index"), "index-context")
-        .otherwise("review").alias("disposition")
-    )
+from ..functions.text import phonetic_key, squeezed
 
 
 def numbered(rows: DataFrame, group: str, order: str, name: str = "n") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import page_type
-from .segmentation import TRUSTED
+from .segmentation import TRUSTED, confidence, page_records
 
 # Words that tell administrative from sacramental sources and mark a register's title, as Java patterns.
 ADMINISTRATIVE = r"(?iu)\b(?:cofrad[ií]a|hermandad|petici[oó]n|solicita|expediente|cabildo|mayordomo|constituci[oó]n|licencia|reglamento)\b"
@@ -49,10 +49,35 @@ def source_kind(evidence: DataFrame) -> DataFrame:
     return evidence.withColumn("kind", kind).withColumn("confidence", F.when(kind == "administrative", 0.95).when(kind == "sacramental", 0.9).otherwise(0.0))
 
 
+def route_of(kind: Column, trust: Column) -> Column:
+    return F.when(kind == "error", RETRANSCRIBE).when(kind == "index", SKIP).when(trust < TRUSTED, FALLBACK).otherwise(DETERMINISTIC)
+
+
+def routed(pages: DataFrame, text: str) -> DataFrame:
+    """pages with page_type, confidence and route, each page by itself: one that only goes on from the page before is not trusted."""
+    found = pages.withColumn("_page", page_records(F.coalesce(F.col(text), F.lit(""))))
+    kind = F.coalesce(F.col("_page.page_type"), page_type(F.col(text)))
+    typed = found.withColumn("page_type", kind)
+    trust = confidence(F.col("_page.entries"), F.col("_page.leading"), F.col(text), F.col("page_type"))
+    typed = typed.withColumn("confidence", trust).drop("_page")
+    return typed.withColumn("route", route_of(F.col("page_type"), F.col("confidence")))
+
+
+def disposition(alone: Column, route: Column) -> Column:
+    """An aggregate: the worst of a record's pages decides what becomes of it; ``alone`` marks the row of a record without pages."""
+    has = lambda r: F.bool_or(F.coalesce(route == r, F.lit(False)))
+    good = F.bool_and(alone | F.coalesce(route == DETERMINISTIC, F.lit(False)))
+    return F.when(good, "production").when(has(RETRANSCRIBE), "blocked-retranscribe").when(has(FALLBACK), "needs-fallback").when(has(SKIP), "index-context").otherwise("review")
+
+
+def worst_disposition(pages: DataFrame, record: str, route: str) -> DataFrame:
+    return pages.groupBy(record).agg(disposition(F.lit(False), F.col(route)).alias("disposition"))
+
+
 def page_routes(confidences: DataFrame) -> DataFrame:
     """page_confidence of segmentation with route and reason: failures first, then indexes, then what is below the trusted confidence."""
     kind, low = F.coalesce("page_type", F.lit("")), F.col("confidence") < TRUSTED
-    route = F.when(kind == "error", RETRANSCRIBE).when(kind == "index", SKIP).when(low, FALLBACK).otherwise(DETERMINISTIC)
+    route = route_of(kind, F.col("confidence"))
     reason = F.when(kind == "error", "source transcription error").when(kind == "index", "not a record page").when(low, "low deterministic confidence").otherwise("confidence at or above 0.70")
     return confidences.withColumns({"route": route, "reason": reason})
 
@@ -76,11 +101,7 @@ def record_dispositions(records: DataFrame, routes: DataFrame) -> DataFrame:
     """
     pages = records.select("volume", "id", F.explode_outer("images").alias("image"))
     here = pages.join(routes.select("volume", "image", "route").distinct(), ["volume", "image"], "left")
-    has = lambda r: F.bool_or(F.coalesce(F.col("route") == r, F.lit(False)))
-    return here.groupBy("volume", "id").agg(
-        F.when(F.bool_and(F.col("image").isNull() | F.coalesce(F.col("route") == DETERMINISTIC, F.lit(False))), "production")
-        .when(has(RETRANSCRIBE), "blocked-retranscribe").when(has(FALLBACK), "needs-fallback").when(has(SKIP), "index-context").otherwise("review").alias("disposition")
-    )
+    return here.groupBy("volume", "id").agg(disposition(F.col("image").isNull(), F.col("route")).alias("disposition"))
 
 
 def disposition_totals(dispositions: DataFrame) -> DataFrame:

@@ -71,6 +71,23 @@ def cut(text: str, split: int = SPLIT) -> dict:
     return page
 
 
+def page_records(text: Column) -> Column:
+    """The records of each page by itself, as ``cut`` finds them, in a struct; of pages that cannot open one, as of a blank page.
+
+    A record opens with a date, which has the word "de"; a line break may cut it, with a - or = beside the break.
+    """
+    may_open = text.rlike(r"(?iU)[\s\x1c-\x1f]de[\s\x1c-\x1f]|[-=][\s\x1c-\x1f]|[\s\x1c-\x1f][-=]")
+    entry = pa.struct([("text", pa.string()), ("partial", pa.bool_())])
+    kinds = {"entries": pa.list_(entry), "leading_closes": pa.bool_(), "dropped": pa.list_(pa.string())}
+    names = ("entries", "leading", "short_leading", "leading_closes", "dropped", "page_type")
+    page = pa.struct([(n, kinds.get(n, pa.string())) for n in names])
+
+    def found(texts: pa.Array) -> pa.Array:
+        return pa.array([cut(t or "") for t in texts.to_pylist()], page)
+
+    return F.arrow_udf(found, PAGE)(F.when(may_open, text))
+
+
 def confidence(entries: Column, leading: Column, text: Column, kind: Column) -> Column:
     """How far the records of a page can be trusted, from 0 to 1; short complete and very long ones speak against it."""
     count = lambda f: F.size(F.filter(entries, f))

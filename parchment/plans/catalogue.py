@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..functions import text as T
 from ..operators import relations as R
+from ..operators import routing as G
 from ..operators.ratios import near_copies_by_ratio
 from ..session import table
 
@@ -53,7 +54,8 @@ _TYPED = r"""(SELECT *, CASE WHEN regexp_matches(t, '(?i)\[transcription failed|
   WHEN len(ls) >= 5 AND len(list_filter(ls, lambda x: starts_with(ltrim(x, ' '), '|') OR regexp_matches(x, '(?i)\bf(ol)?\.?\s*[0-9]{1,4}\s*\|?\s*$'))) >= 0.4 * len(ls) THEN 'index'
   ELSE 'register' END AS page_type
   FROM (SELECT *, coalesce(text, '') AS t, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ') <> '') AS ls FROM %s))"""
-_ROUTE = "CASE page_type WHEN 'error' THEN 'retranscribe' WHEN 'index' THEN 'skip-index' WHEN 'blank' THEN 'luna-sacramental-fallback' ELSE 'deterministic-sacramental' END"
+#: Of pages on which no record opens, as in these tables: they have a confidence of 0.9 if nearly blank, else of 0.45.
+_ROUTE = f"CASE page_type WHEN 'error' THEN '{G.RETRANSCRIBE}' WHEN 'index' THEN '{G.SKIP}' ELSE CASE WHEN length(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) < 120 THEN '{G.DETERMINISTIC}' ELSE '{G.FALLBACK}' END END"
 
 
 @query(f"SELECT source, page_type, count(*) AS pages FROM {_TYPED % 'documents'} GROUP BY source, page_type")
@@ -63,7 +65,7 @@ def page_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT source, {_ROUTE} AS route, count(*) AS pages, sum(n_chars)::BIGINT AS chars FROM {_TYPED % 'documents'} GROUP BY source, route")
 def route_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = R.routed(table(spark, sf_dir, "documents").select("source", "text", "n_chars"), "text")
+    routed = G.routed(table(spark, sf_dir, "documents").select("source", "text", "n_chars"), "text")
     return routed.groupBy("source", "route").agg(F.count(F.lit(1)).alias("pages"), F.sum("n_chars").alias("chars"))
 
 
@@ -71,9 +73,9 @@ flagship = route_summary
 
 
 @query(f"""WITH r AS (SELECT conv_id, {_ROUTE} AS route FROM {_TYPED % 'conversations'})
-SELECT conv_id, CASE WHEN bool_and(route = 'deterministic-sacramental') THEN 'production' WHEN bool_or(route = 'retranscribe') THEN 'blocked' WHEN bool_or(route = 'luna-sacramental-fallback') THEN 'needs-fallback' WHEN bool_or(route = 'skip-index') THEN 'index-context' ELSE 'review' END AS disposition FROM r GROUP BY conv_id""")
+SELECT conv_id, CASE WHEN bool_and(route = 'deterministic-sacramental') THEN 'production' WHEN bool_or(route = 'retranscribe') THEN 'blocked-retranscribe' WHEN bool_or(route = 'luna-sacramental-fallback') THEN 'needs-fallback' WHEN bool_or(route = 'skip-index') THEN 'index-context' ELSE 'review' END AS disposition FROM r GROUP BY conv_id""")
 def worst_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.worst_disposition(R.routed(table(spark, sf_dir, "conversations"), "text"), "conv_id", "route")
+    return G.worst_disposition(G.routed(table(spark, sf_dir, "conversations"), "text"), "conv_id", "route")
 
 
 @query("""SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 'qa-empty-page' WHEN length(text) > 1600 OR d > 14 THEN 'qa-admin-dense' ELSE 'qa-admin-compact-pilot' END AS route, d AS candidates

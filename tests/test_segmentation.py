@@ -132,6 +132,17 @@ def test_routes_dispositions_and_dossiers(spark):
     assert [(r.id, r.title, r.faithful_text) for r in out] == [("doc-002", "Untitled archival item", "[source image: f2]\nx\n\n[source image: f3]")]
 
 
+def test_pages_by_themselves_are_routed_by_confidence(spark):
+    rng = random.Random(8)
+    texts = ["\n".join(rng.choice(PIECES) for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    texts += ["Aos dez d-\ne Maio de 1801 baptizei", "Aos dez d=\x1ce Maio nasceo " * 9, "x" * 119, "x" * 120, "\x1fde\x1f", None]
+    pages = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    lone = pages.select(F.col("i").alias("volume"), F.lit(1).alias("page_no"), F.lit("a").alias("image"), "text")
+    want = {r.volume: (r.route, r.confidence) for r in routing.page_routes(S.page_confidence(S.segment_pages(lone))).collect()}
+    assert {r.i: (r.route, r.confidence) for r in routing.routed(pages, "text").collect()} == want
+    assert len({route for route, _ in want.values()}) == 3
+
+
 def test_segmentation_scores():
     base = ["uma frase bastante longa numero um do livro", "outra frase tambem longa numero dois da folha", "terceira frase longa numero tres do assento", "quarta frase longa numero quatro da margem"]
     refs = [{"text": t, "pages": None} for t in base]
