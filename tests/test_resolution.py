@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parchment.functions.names import same_person, similarity, tokens
 from parchment.functions.text import FOLDS
-from parchment.operators import graph, resolution
+from parchment.operators import blocks, graph, resolution
 from parchment.operators.resolution import AGREEMENT
 
 import re
@@ -205,3 +205,24 @@ def test_graphml_is_well_formed(spark, tmp_path):
     assert root.find(".//g:edge/g:data[@key='entries']", ns).text == "1-01;1-02" and len(root.findall("g:key", ns)) == 14
     rows = graph.node_rows(people).orderBy("id").collect()
     assert (rows[1].needs_review, rows[0].occupation, rows[1].occupation) == ("true", "", "cura")
+
+
+def test_arrays_equal_columns(tables, monkeypatch):
+    """Pairs in tiles against the same pairs scored as columns, and sums by person against the pairs."""
+    monkeypatch.setattr(blocks, "CELLS", 50)
+    monkeypatch.setattr(blocks, "SLICE", 200)
+    m = resolution.mentions(*tables).cache()
+    same = lambda df: sorted((r.i, r.j, r.score, tuple(r.reasons)) for r in df.collect())
+    columns = resolution.pair_scores(resolution.candidate_pairs(m)).select(F.col("a.idx").alias("i"), F.col("b.idx").alias("j"), "score", "reasons")
+    assert same(resolution.scored_pairs(m)) == same(columns)
+    out = resolution.resolve(m, stage=lambda df: df.cache())
+    review = {(r[0], r[1]): r for r in same(columns) if r[2] >= resolution.REVIEW}
+    assert len(review) == out["edges"].count() + out["queue"].count()
+    for r in out["queue"].collect():
+        assert tuple(x for x in r.reasons if not x.startswith("blocked")) == review[r.i, r.j][3]
+    found = resolution.people(m, screens=True).cache()
+    assert {(r.idx, r.root) for r in found.collect()} == {(r.idx, r.root) for r in out["roots"].collect()}
+    screens = lambda df: sorted((r.person, r.n_candidates, r.best_score) for r in df.collect())
+    assert screens(found.where("n_candidates IS NOT NULL").withColumnRenamed("root", "person")) == screens(resolution.person_screens(out["queue"], m, out["roots"]))
+    persons = resolution.identities(m, out)
+    assert resolution.statistics_of_people(m, found, persons).collect() == resolution.resolution_statistics(m, out, persons, resolution.candidate_pairs(m)).collect()
