@@ -5,7 +5,8 @@ searches from its medoid propose neighbours for every vector, and relaxed distan
 proposal only if no kept neighbour is nearer to it by the factor ``ALPHA``, which leaves diverse,
 navigable edges. Reverse edges are added and pruned alike; two rounds, as for the published
 algorithm. Queries, in blocks, are searched by beam in every shard, and the shards' best merge by
-exact cosine in double precision.
+exact cosine in double precision. A task holds the graphs of a few shards (HELD bytes) while blocks
+of queries pass by, so that a block is sent once for each task and never with a graph beside it.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part,
 neither as queries nor as candidates; equal vectors share a node, whose smallest K + 1 ids can be
@@ -24,11 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stage_table, table
+from .common import bounded_batches, stage_table, table
 
 #: Beams of a build and of a query.
 K, DEGREE, BEAM, SEARCH_BEAM, ALPHA = 5, 24, 48, 128, 1.2
 SHARD, QUERY_BLOCK, BATCH = 4096, 256, 256
+#: Bytes of graphs and vectors that a task of the search holds, and the most shards of one task.
+HELD, SHARDS_HELD = 128 << 20, 32
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, start: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +58,7 @@ def beam_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, start: np
         all_ids = np.concatenate((ids, np.full((m, near.shape[1]), -1, ids.dtype)), axis=1)
         all_dist = np.concatenate((dist, np.full((m, near.shape[1]), np.inf, dist.dtype)), axis=1)
         all_done = np.concatenate((done, np.zeros((m, near.shape[1]), bool)), axis=1)
-        all_ids[at, ids.shape[1] :], all_dist[at, ids.shape[1] :] = near, found
+        all_ids[at, ids.shape[1] :], all_dist[at, ids.shape[1] :] = np.where(fresh, near, -1), found  # one seen before would be there twice while a beam is not full
         width = min(beam, all_ids.shape[1])
         keep = np.argpartition(all_dist, width - 1, axis=1)[:, :width]
         ids, dist, done = (np.take_along_axis(a, keep, axis=1) for a in (all_ids, all_dist, all_done))
@@ -124,8 +127,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
     """query_id, rank, vec_id, score: the k nearest found of each query, itself left out. ``queries`` are rows of ``vectors``."""
     clean = lambda df: df.select(F.col(id_col).cast("bigint").alias("id"), F.transform(vec_col, lambda v: v.cast("double")).alias("v")).where(usable(F.col("v"))).withColumn("v", F.transform("v", lambda v: v + F.lit(0.0)))
     rows = clean(vectors).withColumn("h", F.xxhash64("v"))
-    total = rows.count()
+    total, width = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     shards = max(1, -(-total // shard_size))
+    bounded_batches(vectors.sparkSession)
     shard = F.concat_ws("/", F.size("v").cast("string"), F.pmod("h", F.lit(shards)).cast("string"))
     first = rows.withColumn("r", F.row_number().over(W.partitionBy("h", "v").orderBy("id"))).where(F.col("r") <= k + 1)
     index_schema = "shard string, dim int, ids binary, nodes binary, vectors binary, graph binary, entry binary"
@@ -152,39 +156,64 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
         return pa.table({"block": [key[0].as_py()], "dim": pa.array([key[1].as_py()], pa.int32()), "q_ids": pa.array([data.column("id").to_numpy().astype("<i8").tobytes()], pa.binary()), "q_vectors": pa.array([flat.astype("<f8").tobytes()], pa.binary())})
 
     blocks = q.select("block", "dim", "id", "v").groupBy("block", "dim").applyInArrow(pack, block_schema)
-    aimed = blocks.withColumn("shard", F.explode(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.concat_ws("/", F.col("dim").cast("string"), s.cast("string"))))).select("shard", "block", "q_ids", "q_vectors")
+    held = max(1, min(SHARDS_HELD, HELD // (shard_size * (12 * (width or 1) + 4 * DEGREE))))
+    tasks = max(-(-shards // held), min(shards, vectors.sparkSession.sparkContext.defaultParallelism))
+    task = F.pmod(F.split_part("shard", F.lit("/"), F.lit(2)).cast("int"), F.lit(tasks))
+    aimed = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).withColumn("late", F.lit(1))
+    sent = indexed.withColumn("task", task).withColumn("late", F.lit(0)).unionByName(aimed, allowMissingColumns=True)
     out_schema = "query_id bigint, vec_id bigint, score double"
 
+    def opened(row: dict) -> tuple:
+        d = row["dim"]
+        ids, node = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["nodes"], "<i4")
+        own = np.frombuffer(row["vectors"], "<f8").reshape(-1, d)
+        unit = (own / np.linalg.norm(own, axis=1, keepdims=True)).astype(np.float32)
+        order = np.argsort(node, kind="stable")  # ids of a node stay ascending
+        low = np.searchsorted(node[order], np.arange(len(own)))
+        return d, ids[order], low, np.append(low[1:], len(node)) - low, own, unit, np.frombuffer(row["graph"], "<i4").reshape(-1, DEGREE), np.frombuffer(row["entry"], "<i4")
+
+    def in_shard(graph: tuple, q_ids: np.ndarray, q_rows: np.ndarray, out: list) -> None:
+        """The best of one shard for each query, appended to its list of (vec_id, score)."""
+        _, ids, low, size, own, unit, edges, entry = graph
+        for a in range(0, len(q_ids), BATCH):
+            qv = q_rows[a : a + BATCH]
+            found, _ = beam_search(unit, edges, (qv / np.linalg.norm(qv, axis=1, keepdims=True)).astype(np.float32), entry, SEARCH_BEAM)
+            for i, query in enumerate(q_ids[a : a + BATCH]):
+                nodes = found[i][found[i] >= 0]
+                near = own[nodes]
+                score = (near * qv[i]).sum(axis=1) / (np.sqrt((near * near).sum(axis=1)) * np.sqrt((qv[i] * qv[i]).sum()))
+                vec = np.concatenate([ids[low[x] : low[x] + size[x]] for x in nodes]) if len(nodes) else np.empty(0, np.int64)
+                score = np.repeat(score, size[nodes])
+                vec, score = vec[vec != query], score[vec != query]
+                top = np.lexsort((vec, -score))[:k]
+                out[a + i].append((vec[top], score[top]))
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, graphs = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                d = row["dim"]
-                ids, node = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["nodes"], "<i4")
-                rows_ = np.frombuffer(row["vectors"], "<f8").reshape(-1, d)
-                graph, entry = np.frombuffer(row["graph"], "<i4").reshape(-1, DEGREE), np.frombuffer(row["entry"], "<i4")
-                q_ids, q_rows = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["q_vectors"], "<f8").reshape(-1, d)
-                unit = (rows_ / np.linalg.norm(rows_, axis=1, keepdims=True)).astype(np.float32)
-                order = np.argsort(node, kind="stable")  # ids of a node stay ascending
-                low = np.searchsorted(node[order], np.arange(len(rows_)))
-                size = np.append(low[1:], len(node)) - low
+                if row["task"] != now:
+                    now, graphs = row["task"], []
+                if not row["late"]:
+                    graphs.append(opened(row))
+                    continue
+                q_ids = np.frombuffer(row["q_ids"], "<i8")
+                q_rows = np.frombuffer(row["q_vectors"], "<f8").reshape(-1, row["dim"])
+                found: list[list] = [[] for _ in q_ids]
+                for graph in graphs:
+                    if graph[0] == row["dim"]:
+                        in_shard(graph, q_ids, q_rows, found)
                 out: list[list] = [[], [], []]
-                for a in range(0, len(q_ids), BATCH):
-                    qi, qv = q_ids[a : a + BATCH], q_rows[a : a + BATCH]
-                    found, _ = beam_search(unit, graph, (qv / np.linalg.norm(qv, axis=1, keepdims=True)).astype(np.float32), entry, SEARCH_BEAM)
-                    for i, query in enumerate(qi):
-                        nodes = found[i][found[i] >= 0]
-                        near = rows_[nodes]
-                        score = (near * qv[i]).sum(axis=1) / (np.sqrt((near * near).sum(axis=1)) * np.sqrt((qv[i] * qv[i]).sum()))
-                        vec = np.concatenate([ids[order[low[x] : low[x] + size[x]]] for x in nodes]) if len(nodes) else np.empty(0, np.int64)
-                        score = np.repeat(score, size[nodes])
-                        vec, score = vec[vec != query], score[vec != query]
+                for query, parts in zip(q_ids.tolist(), found, strict=True):
+                    if parts:
+                        vec, score = (np.concatenate(z) for z in zip(*parts, strict=True))
                         top = np.lexsort((vec, -score))[:k]
                         out[0] += [query] * len(top)
                         out[1] += vec[top].tolist()
                         out[2] += score[top].tolist()
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
 
-    hits = aimed.join(indexed, "shard").mapInArrow(search, out_schema)
+    hits = sent.repartition(tasks, "task").sortWithinPartitions("task", "late").mapInArrow(search, out_schema)
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
